@@ -1,0 +1 @@
+"""Every job of this engine is a batch job that ends, so there is no streaming operator."""
