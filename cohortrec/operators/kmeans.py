@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortrec.functions import euclidean, manhattan, same_truncated
+from cohortrec.functions import manhattan, same_truncated
 from cohortrec.sources.schemas import CENTROIDS
 
 CLUSTERS = 20
@@ -50,33 +50,48 @@ def weighted_cells(profiles: DataFrame, features: Sequence[str] = FEATURES) -> D
     return points.groupBy("x", "y").agg(F.count("*").alias("n"))
 
 
-def nearest(x: Column, y: Column, centroids: Sequence[Centroid]) -> Column:
-    """``struct(distance, cluster_id)`` of the nearest centroid; the lowest id wins a tie."""
-    candidates = [
-        F.struct(
-            euclidean(x, y, F.lit(cx), F.lit(cy)).alias("distance"), F.lit(cid).alias("cluster_id")
-        )
-        for cid, cx, cy in centroids
-    ]
-    return F.array_min(F.array(*candidates))
+def _distance_sql(x: str, y: str, cx: float, cy: float) -> str:
+    """The distance of columns ``x``, ``y`` to fixed coordinates, as SQL text: one call builds it."""
+    dx, dy = f"(`{x}` - {float(cx)!r}D)", f"(`{y}` - {float(cy)!r}D)"
+    return f"sqrt({dx} * {dx} + {dy} * {dy})"
+
+
+def nearest(x: str, y: str, centroids: Sequence[Centroid]) -> tuple[Column, Column]:
+    """Id and distance of the nearest centroid; the lowest id wins a tie.
+
+    The distances form one flat array in id order, which compiles to straight-line code. A
+    lambda over the centroids would be interpreted for every row.
+    """
+    ordered = sorted(centroids)
+    distances = f"array({', '.join(_distance_sql(x, y, cx, cy) for _, cx, cy in ordered)})"
+    ids = f"array({', '.join(str(cid) for cid, _, _ in ordered)})"
+    place = f"cast(array_position({distances}, array_min({distances})) as int)"
+    return F.expr(f"get({ids}, {place} - 1)"), F.expr(f"array_min({distances})")
 
 
 def assign(
     profiles: DataFrame, centroids: Sequence[Centroid], features: Sequence[str] = FEATURES
 ) -> DataFrame:
     """Every user with the nearest cluster; a narrow projection, no join."""
-    x, y = (F.col(f) for f in features)
-    placed = profiles.where(x.isNotNull() & y.isNotNull()).withColumn("_near", nearest(x, y, centroids))
-    return placed.select("user_id", F.col("_near.cluster_id"), F.col("_near.distance"), x.alias("x"), y.alias("y"))
+    x, y = features
+    cluster, distance = nearest(x, y, centroids)
+    return profiles.dropna(subset=[x, y]).select(
+        "user_id",
+        cluster.alias("cluster_id"),
+        distance.alias("distance"),
+        F.col(x).alias("x"),
+        F.col(y).alias("y"),
+    )
 
 
 def with_membership(
     profiles: DataFrame, centroids: Sequence[Centroid], features: Sequence[str] = FEATURES
 ) -> DataFrame:
     """A new snapshot of the profiles with ``membership`` set; NULL without both features."""
-    x, y = (F.col(f) for f in features)
-    cluster = F.when(x.isNotNull() & y.isNotNull(), nearest(x, y, centroids)["cluster_id"])
-    return profiles.withColumn("membership", cluster)
+    x, y = features
+    cluster, _ = nearest(x, y, centroids)
+    placed = F.col(x).isNotNull() & F.col(y).isNotNull()
+    return profiles.withColumn("membership", F.when(placed, cluster))
 
 
 def centroid_distances(
@@ -86,20 +101,24 @@ def centroid_distances(
     features: Sequence[str] = FEATURES,
 ) -> DataFrame:
     """The distance of every user to each of the K centroids; Manhattan works on whole numbers."""
-    x, y = (F.col(f) for f in features)
+    x, y = features
 
-    def distance(cx: float, cy: float) -> Column:
+    def pair(centroid: Centroid) -> Column:
+        cid, cx, cy = centroid
         if metric == "manhattan":
-            return manhattan(x.cast("int"), y.cast("int"), F.lit(int(cx)), F.lit(int(cy)))
-        return euclidean(x, y, F.lit(cx), F.lit(cy))
+            points = (F.col(x).cast("int"), F.col(y).cast("int"), F.lit(int(cx)), F.lit(int(cy)))
+            distance = manhattan(*points)
+        else:
+            distance = F.expr(_distance_sql(x, y, cx, cy))
+        return F.struct(F.lit(cid).alias("cluster_id"), distance.alias("distance"))
 
-    pairs = [F.struct(F.lit(cid).alias("cluster_id"), distance(cx, cy).alias("distance")) for cid, cx, cy in centroids]
-    return profiles.select("user_id", F.inline(F.array(*pairs)))
+    return profiles.select("user_id", F.inline(F.array(*map(pair, centroids))))
 
 
 def cell_means(cells: DataFrame, centroids: Sequence[Centroid]) -> DataFrame:
     """Mean point and number of users of every cluster that has members."""
-    placed = cells.withColumn("cluster_id", nearest(F.col("x"), F.col("y"), centroids)["cluster_id"])
+    cluster, _ = nearest("x", "y", centroids)
+    placed = cells.withColumn("cluster_id", cluster)
     return placed.groupBy("cluster_id").agg(
         (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x"),
         (F.sum(F.col("y") * F.col("n")) / F.sum("n")).alias("y"),

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortrec.plans.materialize import materialize
+
 LIST_PART_SIZE = 100_000
 ITEM_BLOCK = 1 << 16
 
@@ -24,7 +26,8 @@ def list_start(
     accumulated over the group.
     """
     block_key = [*keys, "_block"]
-    blocked = counts.withColumn("_block", F.expr(f"`{item}` div {block}"))
+    # The filter is what the join below would add to one side only; on both, they share a shuffle.
+    blocked = counts.withColumn("_block", F.expr(f"`{item}` div {block}")).where("_block is not null")
     inside = Window.partitionBy(*block_key).orderBy(item)
     across = Window.partitionBy(*keys).orderBy("_block")
     offsets = (
@@ -40,6 +43,41 @@ def list_start(
     )
 
 
+def cut_lists(
+    entries: DataFrame,
+    keys: Sequence[str],
+    item: str,
+    out: str,
+    part_size: int,
+    value: str | None = None,
+) -> DataFrame:
+    """One row per (keys, part) with the ascending array ``out`` of that part's items.
+
+    ``value`` names a column fixed by the item; the array then holds ``struct(item, value)``.
+    Entries are counted per item before the shuffle, so neither a long list nor an item that is
+    repeated very often meets in one task.
+    """
+    keys = list(keys)
+    values = [] if value is None else [F.first(value).alias(value)]
+    counts = entries.groupBy(*keys, item).agg(F.count("*").alias("n"), *values)
+    first_part, last_part = f"start div {part_size}", f"(start + n - 1) div {part_size}"
+    begin = F.greatest(F.col("start"), F.col("part") * part_size)
+    end = F.least(F.col("start") + F.col("n"), (F.col("part") + 1) * part_size)
+    pieces = (
+        list_start(counts, keys, item)
+        .withColumn("part", F.explode(F.expr(f"sequence({first_part}, {last_part})")))
+        .withColumn("_copies", (end - begin).cast("int"))
+    )
+    fields = [item] if value is None else [item, value]
+
+    def repeated(run: Column) -> Column:
+        entry = run[item] if value is None else F.struct(*[run[f].alias(f) for f in fields])
+        return F.array_repeat(entry, run["_copies"])
+
+    runs = pieces.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(F.struct(*fields, "_copies"))).alias("_runs"))
+    return runs.select(*keys, "part", F.flatten(F.transform("_runs", repeated)).alias(out))
+
+
 def list_parts(
     entries: DataFrame,
     keys: Sequence[str],
@@ -50,56 +88,33 @@ def list_parts(
     aggregates: Sequence[Column] = (),
     sizing: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per (keys, part) with the ascending array ``out`` of that part's items.
+    """The rows of ``cut_lists`` for groups that mostly fit into one part.
 
-    ``value`` names a column fixed by the item; the array then holds ``struct(item, value)``.
     ``aggregates`` are computed over the whole group and repeated on each of its parts.
     ``sizing`` may be a cheaper frame whose rows per key bound the group size from above.
 
-    Groups of at most ``part_size`` rows take one ``groupBy``. Only the larger ones go through
-    counts per item and ``list_start``; without any, that branch is empty at run time.
+    Keys of larger groups are found first, with a count that shuffles one row per key and task.
+    Usually there are none, and the lists take a single ``groupBy``; otherwise only these groups
+    take the longer way.
     """
     keys = list(keys)
-    fields = [item] if value is None else [item, value]
-    element = F.col(item) if value is None else F.struct(*fields)
-
     sizes = entries if sizing is None else sizing
     large = sizes.groupBy(*keys).agg(F.count("*").alias("_size")).where(F.col("_size") > part_size)
-    large = large.select(*keys)
+    large = materialize(large.select(*keys), "large_groups")
 
-    whole = (
-        entries.join(large, keys, "left_anti")
-        .groupBy(*keys)
-        .agg(*aggregates, F.sort_array(F.collect_list(element)).alias(out))
-        .withColumn("part", F.lit(0).cast("long"))
-    )
-
-    cut = entries.join(large, keys, "left_semi")
-    values = [] if value is None else [F.first(value).alias(value)]
-    counts = cut.groupBy(*keys, item).agg(F.count("*").alias("n"), *values)
-    last = F.col("start") + F.col("n") - 1
-    overlap = F.least(last, (F.col("part") + 1) * part_size - 1) - F.greatest(
-        F.col("start"), F.col("part") * part_size
-    )
-    parts = (
-        list_start(counts, keys, item)
-        .withColumn(
-            "part",
-            F.explode(F.sequence(F.expr(f"start div {part_size}"), F.expr(f"(start + n - 1) div {part_size}"))),
-        )
-        .withColumn("_copies", (overlap + 1).cast("int"))
-        .groupBy(*keys, "part")
-        .agg(F.sort_array(F.collect_list(F.struct(*fields, "_copies"))).alias("_runs"))
-    )
+    element = F.col(item) if value is None else F.struct(item, value)
 
-    def repeated(run: Column) -> Column:
-        entry = run[item] if value is None else F.struct(run[item].alias(item), run[value].alias(value))
-        return F.array_repeat(entry, run["_copies"])
+    def whole(rows: DataFrame) -> DataFrame:
+        lists = rows.groupBy(*keys).agg(*aggregates, F.sort_array(F.collect_list(element)).alias(out))
+        return lists.withColumn("part", F.lit(0).cast("long"))
 
-    parts = parts.select(*keys, "part", F.flatten(F.transform("_runs", repeated)).alias(out))
+    if large.isEmpty():
+        return whole(entries)
+    rest = entries.join(large, keys, "left_semi")
+    cut = cut_lists(rest, keys, item, out, part_size, value)
     if aggregates:
-        parts = parts.join(cut.groupBy(*keys).agg(*aggregates), keys)
-    return whole.unionByName(parts)
+        cut = cut.join(rest.groupBy(*keys).agg(*aggregates), keys)
+    return whole(entries.join(large, keys, "left_anti")).unionByName(cut)
 
 
 def joined(ids: Column) -> Column:

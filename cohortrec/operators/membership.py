@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortrec.operators.lists import joined, list_parts
+from cohortrec.operators.lists import cut_lists, joined
 from cohortrec.operators.profile import first_rows
 from cohortrec.sources.text import parse_member_list
 
@@ -15,7 +15,7 @@ def cluster_members(clustered: DataFrame, part_size: int = CLUSTER_PART_SIZE) ->
     """The ascending user list of every cluster, ``part_size`` users per row."""
     entries = first_rows(clustered).where("membership is not null")
     entries = entries.select(F.col("membership").alias("cluster_id"), "user_id")
-    parts = list_parts(entries, ["cluster_id"], "user_id", "_ids", part_size=part_size)
+    parts = cut_lists(entries, ["cluster_id"], "user_id", "_ids", part_size)
     return parts.select("cluster_id", "part", joined(F.col("_ids")).alias("members"))
 
 

@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortrec.operators.lists import LIST_PART_SIZE, joined, list_parts, list_start
+from cohortrec.operators.lists import LIST_PART_SIZE, cut_lists, joined, list_parts, list_start
 from cohortrec.operators.membership import CLUSTER_PART_SIZE
 
 RECOMMENDATIONS = 10
@@ -26,7 +26,7 @@ def cluster_movies(clustered: DataFrame) -> DataFrame:
 
 def cluster_movie_list(clustered: DataFrame, part_size: int = CLUSTER_PART_SIZE) -> DataFrame:
     """The ascending movie list of every cluster with repeats, ``part_size`` entries per row."""
-    parts = list_parts(_cluster_entries(clustered), ["cluster_id"], "movie_id", "_ids", part_size=part_size)
+    parts = cut_lists(_cluster_entries(clustered), ["cluster_id"], "movie_id", "_ids", part_size)
     return parts.select("cluster_id", "part", joined(F.col("_ids")).alias("movies"))
 
 
