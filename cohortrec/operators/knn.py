@@ -10,10 +10,9 @@ many users or test users share a point.
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortrec.functions import euclidean
 from cohortrec.operators.kmeans import FEATURES
 
 NEIGHBOURS = 25
@@ -21,87 +20,64 @@ NEIGHBOURS = 25
 WIDTHS = (*range(0, 13), 31)
 
 
-def _points(profiles: DataFrame, need: int, features: Sequence[str]) -> DataFrame:
-    """``(x, y)``, its ``need`` smallest users and their number; one shuffle by point."""
-    x, y = features
-    users = profiles.select(
-        F.col(x).alias("x"), F.col(y).alias("y"), "user_id", "membership"
-    ).dropna(subset=["x", "y"])
-    order = Window.partitionBy("x", "y").orderBy("user_id")
-    kept = users.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= need)
-    return kept.groupBy("x", "y").agg(
-        F.sort_array(F.collect_list(F.struct("user_id", "membership"))).alias("users"),
-        F.count("*").alias("n"),
-    )
-
-
-def _block(value: Column, width: Column) -> Column:
-    return F.floor(value / F.pow(F.lit(2.0), width))
-
-
-def _around(reach: int, width: Column, x: str, y: str) -> Column:
-    """Blocks of one width within ``reach`` blocks of a point, as an array of structs."""
-    steps = F.sequence(F.lit(-reach), F.lit(reach))
-    return F.flatten(
-        F.transform(
-            steps,
-            lambda dx: F.transform(
-                steps,
-                lambda dy: F.struct(
-                    width.alias("width"),
-                    (_block(F.col(x), width) + dx).alias("bx"),
-                    (_block(F.col(y), width) + dy).alias("by"),
-                ),
-            ),
-        )
-    )
-
-
-def _search_points(points: DataFrame, targets: DataFrame, need: int) -> DataFrame:
-    """Candidate points of every distinct target: a superset of those that hold the K nearest."""
-    widths = F.array(*[F.lit(w) for w in WIDTHS])
-    blocked = points.withColumn("width", F.explode(widths)).withColumns(
-        {"bx": _block(F.col("x"), F.col("width")), "by": _block(F.col("y"), F.col("width"))}
-    )
-    block = ["width", "bx", "by"]
-    totals = blocked.groupBy(*block).agg(F.sum("n").alias("n"))
-    probes = targets.withColumn("width", F.explode(widths)).select(
-        "tx", "ty", F.inline(_around(1, F.col("width"), "tx", "ty"))
-    )
-    enough = (
-        probes.join(totals, block)
-        .groupBy("tx", "ty", "width")
-        .agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= need)
-        .groupBy("tx", "ty")
-        .agg(F.min("width").alias("width"))
-    )
-    # Without enough users at any width there are fewer than K in all, and all of them count.
-    chosen = targets.join(enough, ["tx", "ty"], "left").withColumn(
-        "width", F.coalesce("width", F.lit(WIDTHS[-1]))
-    )
-    reached = chosen.select("tx", "ty", F.inline(_around(3, F.col("width"), "tx", "ty")))
-    return reached.join(blocked, block).select("tx", "ty", "x", "y", "n", "users")
-
-
 def point_neighbours(
     profiles: DataFrame, test_users: DataFrame, need: int, features: Sequence[str] = FEATURES
 ) -> DataFrame:
     """The ``need`` nearest users of every distinct test point, ties by smaller user id.
 
-    ``profiles`` has one row per user and a ``membership``.
+    ``profiles`` has one row per user and a ``membership``. Result columns: ``tx, ty``,
+    ``distance``, ``user_id``, ``membership``, ``rn``. Users without both features are left out.
     """
     x, y = features
-    targets = test_users.select(F.col(x).alias("tx"), F.col(y).alias("ty")).dropna().distinct()
-    pairs = _search_points(_points(profiles, need, features), targets, need).withColumn(
-        "distance", euclidean(F.col("x"), F.col("y"), F.col("tx"), F.col("ty"))
+    widths = f"array({', '.join(map(str, WIDTHS))})"
+    return profiles.sparkSession.sql(
+        f"""
+        WITH kept AS (
+          SELECT x, y, user_id, membership FROM (
+            SELECT *, row_number() OVER (PARTITION BY x, y ORDER BY user_id) AS place
+            FROM (SELECT `{x}` AS x, `{y}` AS y, user_id, membership FROM {{profiles}})
+            WHERE x IS NOT NULL AND y IS NOT NULL)
+          WHERE place <= {need}),
+        points AS (
+          SELECT x, y, sort_array(collect_list(struct(user_id, membership))) AS users, count(*) AS n
+          FROM kept GROUP BY x, y),
+        blocked AS (
+          SELECT *, floor(x / pow(2D, width)) AS bx, floor(y / pow(2D, width)) AS by
+          FROM points LATERAL VIEW explode({widths}) AS width),
+        totals AS (SELECT width, bx, by, sum(n) AS n FROM blocked GROUP BY width, bx, by),
+        targets AS (
+          SELECT DISTINCT `{x}` AS tx, `{y}` AS ty FROM {{test_users}}
+          WHERE `{x}` IS NOT NULL AND `{y}` IS NOT NULL),
+        probes AS (
+          SELECT tx, ty, width, floor(tx / pow(2D, width)) + dx AS bx, floor(ty / pow(2D, width)) + dy AS by
+          FROM targets LATERAL VIEW explode({widths}) AS width
+          LATERAL VIEW explode(sequence(-1, 1)) AS dx LATERAL VIEW explode(sequence(-1, 1)) AS dy),
+        enough AS (
+          SELECT tx, ty, min(width) AS width FROM (
+            SELECT tx, ty, width FROM probes JOIN totals USING (width, bx, by)
+            GROUP BY tx, ty, width HAVING sum(n) >= {need})
+          GROUP BY tx, ty),
+        -- Without enough users at any width there are fewer than K in all, and all of them count.
+        chosen AS (
+          SELECT tx, ty, coalesce(width, {WIDTHS[-1]}) AS width FROM targets LEFT JOIN enough USING (tx, ty)),
+        reached AS (
+          SELECT tx, ty, width, floor(tx / pow(2D, width)) + dx AS bx, floor(ty / pow(2D, width)) + dy AS by
+          FROM chosen LATERAL VIEW explode(sequence(-3, 3)) AS dx LATERAL VIEW explode(sequence(-3, 3)) AS dy),
+        pairs AS (
+          SELECT tx, ty, users, sqrt((x - tx) * (x - tx) + (y - ty) * (y - ty)) AS distance
+          FROM reached JOIN blocked USING (width, bx, by)),
+        -- A point holds at least one user: with K points strictly nearer, it is too far.
+        candidates AS (
+          SELECT tx, ty, distance, inline(users) FROM (
+            SELECT *, rank() OVER (PARTITION BY tx, ty ORDER BY distance) AS place FROM pairs)
+          WHERE place <= {need})
+        SELECT * FROM (
+          SELECT *, row_number() OVER (PARTITION BY tx, ty ORDER BY distance, user_id) AS rn FROM candidates)
+        WHERE rn <= {need}
+        """,
+        profiles=profiles,
+        test_users=test_users,
     )
-    # A point holds at least one user, so a point with ``need`` strictly nearer points is too far.
-    target = Window.partitionBy("tx", "ty")
-    near = pairs.withColumn("_rank", F.rank().over(target.orderBy("distance"))).where(F.col("_rank") <= need)
-    users = near.select("tx", "ty", "distance", F.inline("users"))
-    rank = F.row_number().over(target.orderBy("distance", "user_id"))
-    return users.withColumn("rn", rank).where(F.col("rn") <= need)
 
 
 def neighbours(

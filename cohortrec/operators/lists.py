@@ -7,7 +7,7 @@ part is shorter. A group that fits into one part is a single row with part 0.
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortrec.plans.materialize import materialize
@@ -25,21 +25,19 @@ def list_start(
     whole group: ranks are taken inside blocks of item ids, and one total per block is
     accumulated over the group.
     """
-    block_key = [*keys, "_block"]
-    # The filter is what the join below would add to one side only; on both, they share a shuffle.
-    blocked = counts.withColumn("_block", F.expr(f"`{item}` div {block}")).where("_block is not null")
-    inside = Window.partitionBy(*block_key).orderBy(item)
-    across = Window.partitionBy(*keys).orderBy("_block")
-    offsets = (
-        blocked.groupBy(*block_key)
-        .agg(F.sum("n").alias("_block_n"))
-        .select(*block_key, (F.sum("_block_n").over(across) - F.col("_block_n")).alias("_offset"))
-    )
-    return (
-        blocked.withColumn("_before", F.sum("n").over(inside) - F.col("n"))
-        .join(offsets, block_key)
-        .withColumn("start", F.col("_offset") + F.col("_before"))
-        .drop("_block", "_before", "_offset")
+    key = ", ".join(f"`{k}`" for k in keys)
+    # Both sides of the join filter on the block, so that they share one shuffle of the counts.
+    return counts.sparkSession.sql(
+        f"""
+        WITH blocked AS (SELECT * FROM (SELECT *, `{item}` div {block} AS block FROM {{counts}}) WHERE block IS NOT NULL),
+        inside AS (SELECT *, sum(n) OVER (PARTITION BY {key}, block ORDER BY `{item}`) - n AS before FROM blocked),
+        totals AS (SELECT {key}, block, sum(n) AS size FROM blocked GROUP BY {key}, block),
+        offsets AS (
+          SELECT {key}, block, sum(size) OVER (PARTITION BY {key} ORDER BY block) - size AS offset FROM totals)
+        SELECT * EXCEPT (block, before, offset), offset + before AS start
+        FROM inside JOIN offsets USING ({key}, block)
+        """,
+        counts=counts,
     )
 
 

@@ -63,20 +63,23 @@ def first_unseen(
     movies of each user whatever the size of the cluster.
     """
     ranked = list_start(movies.withColumn("n", F.lit(1).cast("long")), ["cluster_id"], "movie_id")
-    ranked = ranked.select(
-        "cluster_id", "movie_id", "start", F.expr(f"start div {RANK_BUCKET}").alias("_bucket")
+    unseen = movies.sparkSession.sql(
+        f"""
+        WITH seen AS (SELECT user_id, count(*) AS n FROM {{watched}} GROUP BY user_id),
+        reach AS (
+          SELECT l.user_id, l.cluster_id, {limit} + coalesce(seen.n, 0) AS reach
+          FROM {{labels}} l LEFT JOIN seen ON l.user_id = seen.user_id),
+        wanted AS (
+          SELECT *, explode(sequence(0L, (reach - 1) div {RANK_BUCKET})) AS bucket FROM reach),
+        ranked AS (SELECT *, start div {RANK_BUCKET} AS bucket FROM {{ranked}}),
+        offered AS (
+          SELECT user_id, movie_id FROM wanted JOIN ranked USING (cluster_id, bucket) WHERE start < reach)
+        SELECT user_id, movie_id FROM offered ANTI JOIN {{watched}} USING (user_id, movie_id)
+        """,
+        ranked=ranked,
+        labels=_labels(test_users),
+        watched=watched,
     )
-    seen = watched.groupBy("user_id").agg(F.count("*").alias("_seen"))
-    reach = (
-        _labels(test_users)
-        .join(seen, "user_id", "left")
-        .withColumn("_reach", F.lit(limit) + F.coalesce("_seen", F.lit(0)))
-    )
-    wanted = reach.withColumn(
-        "_bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_reach - 1) div {RANK_BUCKET}")))
-    )
-    offered = wanted.join(ranked, ["cluster_id", "_bucket"]).where(F.col("start") < F.col("_reach"))
-    unseen = offered.select("user_id", "movie_id").join(watched, ["user_id", "movie_id"], "left_anti")
     return _capped(unseen, [F.col("movie_id")], limit)
 
 
