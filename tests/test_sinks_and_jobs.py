@@ -1,0 +1,87 @@
+import glob
+import random
+
+from pyspark.sql import functions as F
+
+from cohortrec.operators import profile
+from cohortrec.plans import jobs
+from cohortrec.sources import sinks, text
+
+PROFILES = (
+    "user_id long, avg_rating double, avg_watch_year double, avg_release_year double, part long, movies array<long>"
+)
+
+
+def file_lines(path):
+    found = []
+    for name in glob.glob(f"{path}/**/part-*", recursive=True):
+        with open(name) as f:
+            found += f.read().splitlines()
+    return sorted(found)
+
+
+def test_profile_and_recommendation_lines(spark, tmp_path):
+    profiles = spark.createDataFrame([(1, -1.0, 2004.0, 1990.0, 0, [5, 6])], PROFILES)
+    sinks.write_lines(sinks.profile_lines(profiles), str(tmp_path / "p"))
+    assert file_lines(tmp_path / "p") == ["1\t-1.00,2004.00,1990.00,5,6"]
+
+    titled = spark.createDataFrame([(1, "A, B"), (2, None)], "user_id long, title string")
+    sinks.write_lines(sinks.recommendation_lines(titled), str(tmp_path / "r"))
+    assert file_lines(tmp_path / "r") == ["\t1,A, B", "\t2,null"]
+
+
+def test_holdout_round_trip_keeps_parts(spark, tmp_path):
+    rows = [(1, 0.0, 2004.0, 1990.0, 0, [5, 6]), (1, 0.0, 2004.0, 1990.0, 1, [7]), (2, 0.0, 2003.0, 1980.0, 0, [9])]
+    path = str(tmp_path / "tests")
+    sinks.write_lines(sinks.holdout_lines(profile.holdout_users(spark.createDataFrame(rows, PROFILES))), path)
+    assert file_lines(path) == ['1,2004.0,1990.0,"5,6"', '1,2004.0,1990.0,"7"', '2,2003.0,1980.0,"9"']
+    found = text.read_test_users(spark, path).orderBy("user_id", "part").collect()
+    assert [(r.user_id, r.part, r.movies) for r in found] == [(1, 0, "5,6"), (1, 1, "7"), (2, 0, "9")]
+
+
+def test_cluster_list_round_trip(spark, tmp_path):
+    lists = spark.createDataFrame([(0, 0, "5,6"), (0, 1, "7"), (3, 0, "8")], "cluster_id int, part long, movies string")
+    sinks.write_lines(sinks.cluster_list_lines(lists), str(tmp_path / "l"))
+    found = text.read_cluster_list(spark, str(tmp_path / "l"))
+    assert sorted(map(tuple, found.collect())) == [(0, 5), (0, 6), (0, 7), (3, 8)]
+
+
+def test_all_stages_from_text(spark, tmp_path):
+    rng = random.Random(2)
+    movies = {m: 1950 + m for m in range(40)}
+    ratings = []
+    for user in range(60):
+        for _ in range(rng.randrange(3, 12)):
+            movie = min(39, max(0, user // 2 + rng.randrange(-8, 8)))
+            ratings.append(f"{len(ratings)},{movie},{user},{rng.randrange(1, 6)},{rng.randrange(1999, 2005)}-03-04")
+    (tmp_path / "ratings.csv").write_text("\n".join(ratings) + "\n")
+    (tmp_path / "titles.txt").write_text("".join(f"{m},{y},Title {m}, part\n" for m, y in movies.items()))
+    (tmp_path / "seeds.txt").write_text("1955,2000\n\n1965,2001\n1975,2002\n1985,2003\n")
+    out = str(tmp_path / "out")
+    jobs.run_files(
+        spark, str(tmp_path / "ratings.csv"), str(tmp_path / "titles.txt"), str(tmp_path / "seeds.txt"), out, k=4
+    )
+
+    watched = {}
+    for line in ratings:
+        _, movie, user, _, _ = line.split(",")
+        watched.setdefault(int(user), set()).add(int(movie))
+    profiles = {r.user_id: r for r in spark.read.parquet(f"{out}/profiles").collect()}
+    assert {u: set(r.movies) for u, r in profiles.items()} == watched
+    labels = {r.user_id: r.membership for r in spark.read.parquet(f"{out}/knn_assignments").collect()}
+    assert set(labels) == set(watched)
+    cluster = {}
+    for user, r in profiles.items():
+        cluster.setdefault(r.membership, set()).update(r.movies)
+    stored = spark.read.parquet(f"{out}/cluster_movies").groupBy("cluster_id").agg(F.collect_set("movie_id").alias("m"))
+    assert {r.cluster_id: set(r.m) for r in stored.collect()} == cluster
+    expected = {u: sorted(cluster[label] - watched[u]) for u, label in labels.items()}
+    top = sorted(f"\t{u},Title {m}, part" for u, ms in expected.items() for m in ms[:10])
+    assert file_lines(f"{out}/recommendations") == top
+    everything = sorted(f"\t{u},Title {m}, part" for u, ms in expected.items() for m in ms)
+    assert file_lines(f"{out}/all_recommendations") == everything
+    assert len(file_lines(f"{out}/test_users")) == len(file_lines(f"{out}/profile_text")) == 60
+    members = spark.read.parquet(f"{out}/cluster_members").collect()
+    assert {int(u): r.cluster_id for r in members for u in r.members.split(",")} == {
+        u: r.membership for u, r in profiles.items()
+    }
