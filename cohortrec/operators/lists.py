@@ -72,7 +72,8 @@ def cut_lists(
         entry = run[item] if value is None else F.struct(*[run[f].alias(f) for f in fields])
         return F.array_repeat(entry, run["_copies"])
 
-    runs = pieces.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(F.struct(*fields, "_copies"))).alias("_runs"))
+    runs = pieces.repartition(*keys, "part").groupBy(*keys, "part")
+    runs = runs.agg(F.sort_array(F.collect_list(F.struct(*fields, "_copies"))).alias("_runs"))
     return runs.select(*keys, "part", F.flatten(F.transform("_runs", repeated)).alias(out))
 
 
@@ -98,16 +99,19 @@ def list_parts(
     keys = list(keys)
     sizes = entries if sizing is None else sizing
     large = sizes.groupBy(*keys).agg(F.count("*").alias("_size")).where(F.col("_size") > part_size)
-    large = materialize(large.select(*keys), "large_groups")
+    large = large.select(*keys)
 
     element = F.col(item) if value is None else F.struct(item, value)
 
     def whole(rows: DataFrame) -> DataFrame:
-        lists = rows.groupBy(*keys).agg(*aggregates, F.sort_array(F.collect_list(element)).alias(out))
+        # Shuffled first: lists do not shrink map-side, they would only be sorted there in vain.
+        lists = rows.repartition(*keys).groupBy(*keys)
+        lists = lists.agg(*aggregates, F.sort_array(F.collect_list(element)).alias(out))
         return lists.withColumn("part", F.lit(0).cast("long"))
 
     if large.isEmpty():
         return whole(entries)
+    large = materialize(large, "large_groups")
     rest = entries.join(large, keys, "left_semi")
     cut = cut_lists(rest, keys, item, out, part_size, value)
     if aggregates:

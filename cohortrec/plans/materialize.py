@@ -5,6 +5,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Fallback folder of local sessions without a configured one.
+_local_root: str | None = None
+
 
 def shared_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster in ``spark.checkpoint.dir``.
@@ -12,14 +15,19 @@ def shared_root(spark: SparkSession) -> str:
     A local session without the setting gets a temporary folder; a cluster session without it
     is refused, because a machine-local folder is not visible to the other executors.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    global _local_root
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="cohortrec-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if _local_root is None:
+        _local_root = tempfile.mkdtemp(prefix="cohortrec-")
+    return _local_root
+
+
+def _application_root(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/cohortrec/{spark.sparkContext.applicationId}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -29,6 +37,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     after an executor loss restart from the table instead of the raw ratings.
     """
     spark = df.sparkSession
-    path = f"{shared_root(spark)}/cohortrec/{uuid.uuid4().hex}/{name}"
+    path = f"{_application_root(spark)}/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release_tables(spark: SparkSession) -> None:
+    """Delete the tables this application materialized, once no frame over them is needed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
