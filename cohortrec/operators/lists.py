@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from cohortrec.plans.materialize import materialize
 
 LIST_PART_SIZE = 100_000
-ITEM_BLOCK = 1 << 16
+ITEM_BLOCK = 1 << 13
 
 
 def list_start(

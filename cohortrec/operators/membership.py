@@ -1,6 +1,6 @@
 """Cluster membership: member lists, sizes, and the way back from lists to profiles."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortrec.operators.lists import cut_lists, joined
@@ -29,3 +29,19 @@ def assign_from_members(profiles: DataFrame, members: DataFrame) -> DataFrame:
     """Set ``membership`` of every listed user from the member lists."""
     listed = parse_member_list(members).withColumnRenamed("cluster_id", "membership")
     return profiles.join(listed, "user_id")
+
+
+def cohort_join(spark: SparkSession) -> DataFrame:
+    """Every test user with the users of its cluster, from the registered views.
+
+    As long as (test users x users of their cluster), so meant for a bounded set of test users.
+    A cluster is one of few join keys; hash slices of its users spread it over more tasks.
+    """
+    return spark.sql(
+        """
+        SELECT k.user_id AS test_user_id, p.user_id, p.membership
+        FROM (SELECT user_id, membership, pmod(hash(user_id), 32) AS slice FROM profiles) p
+        JOIN (SELECT user_id, membership, explode(sequence(0, 31)) AS slice FROM knn_assignments WHERE part = 0) k
+          ON p.membership = k.membership AND p.slice = k.slice
+        """
+    )

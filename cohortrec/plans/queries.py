@@ -332,26 +332,15 @@ def prediction_names(spark, sf):
 
 @query("cohort_join")
 def cohort_join(spark, sf):
-    """Both SQL-visible tables joined on membership.
-
-    A cluster is one of few join keys; hash slices of its users spread it over more tasks.
-    """
     cohorts = _cohorts(spark, sf)
     tables.register_views(profile.first_rows(cohorts.profiles), jobs.classified_holdout(cohorts))
-    return spark.sql(
-        """
-        SELECT k.user_id AS test_user_id, p.user_id, p.membership
-        FROM (SELECT user_id, membership, pmod(hash(user_id), 32) AS slice FROM profiles) p
-        JOIN (SELECT user_id, membership, explode(sequence(0, 31)) AS slice FROM knn_assignments WHERE part = 0) k
-          ON p.membership = k.membership AND p.slice = k.slice
-        """
-    )
+    return membership.cohort_join(spark)
 
 
 @query("cosine_similarity")
 def cosine_similarity(spark, sf):
     """Every customer against the next one by id."""
-    vectors = similarity.rating_vectors(standin.ratings(spark, sf))
+    vectors = materialize(similarity.rating_vectors(standin.ratings(spark, sf)), "vectors")
     users = vectors.select(F.col("vec_id").alias("left_id")).distinct()
     following = users.select((F.col("left_id") - 1).alias("left_id"), F.col("left_id").alias("right_id"))
     found = similarity.cosine_similarity(vectors, users.join(following, "left_id"))
