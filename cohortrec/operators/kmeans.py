@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortrec.functions import manhattan, same_truncated
-from cohortrec.sources.schemas import CENTROIDS
 
 CLUSTERS = 20
 MAX_STEPS = 50
@@ -37,7 +36,9 @@ def centroid_rows(centroids: DataFrame) -> list[Centroid]:
 
 
 def centroid_frame(spark: SparkSession, centroids: Sequence[Centroid]) -> DataFrame:
-    return spark.createDataFrame(list(centroids), CENTROIDS)
+    """K literal rows, whose size the optimizer knows."""
+    rows = ", ".join(f"(CAST({cid} AS INT), {float(x)!r}D, {float(y)!r}D)" for cid, x, y in centroids)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS centroids(cluster_id, x, y)")
 
 
 def weighted_cells(profiles: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:

@@ -26,11 +26,3 @@ PREDICTION_PAIRS = T.StructType(
         T.StructField("movie_id", T.LongType()),
     ]
 )
-
-CENTROIDS = T.StructType(
-    [
-        T.StructField("cluster_id", T.IntegerType()),
-        T.StructField("x", T.DoubleType()),
-        T.StructField("y", T.DoubleType()),
-    ]
-)

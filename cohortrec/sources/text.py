@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortrec.functions import id_items
-from cohortrec.sources.schemas import CENTROIDS, PREDICTION_PAIRS, RATINGS
+from cohortrec.sources.schemas import PREDICTION_PAIRS, RATINGS
 
 PLACE = ["file", "split", "seq"]
 
@@ -98,11 +98,12 @@ def parse_seed_centroids(lines: DataFrame, k: int) -> DataFrame:
 
 
 def read_seed_centroids(spark: SparkSession, path: str, k: int) -> DataFrame:
-    """Fails when the file holds fewer than ``k`` seeds; the checked frame is ``k`` local rows."""
-    rows = parse_seed_centroids(read_lines(spark, path), k).collect()
-    if len(rows) < k:
-        raise ValueError(f"{k} seed centroids needed, {len(rows)} found in {path}")
-    return spark.createDataFrame(rows, CENTROIDS)
+    """Fails when the file holds fewer than ``k`` seeds."""
+    seeds = parse_seed_centroids(read_lines(spark, path), k)
+    found = seeds.count()
+    if found < k:
+        raise ValueError(f"{k} seed centroids needed, {found} found in {path}")
+    return seeds
 
 
 def carry_header(lines: DataFrame) -> DataFrame:
