@@ -60,7 +60,7 @@ def classified_holdout(
     cohorts: Cohorts, limit: int = 500, k: int = NEIGHBOURS, exclude_self: bool = False
 ) -> DataFrame:
     """The held-out users with the membership voted by their neighbours, as a written table."""
-    tests = holdout_users(cohorts.profiles, limit)
+    tests = materialize(holdout_users(cohorts.profiles, limit), "test_users")
     return materialize(classify(first_rows(cohorts.profiles), tests, k, exclude_self), "knn_assignments")
 
 
