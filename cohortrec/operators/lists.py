@@ -29,7 +29,8 @@ def list_start(
     # Both sides of the join filter on the block, so that they share one shuffle of the counts.
     return counts.sparkSession.sql(
         f"""
-        WITH blocked AS (SELECT * FROM (SELECT *, `{item}` div {block} AS block FROM {{counts}}) WHERE block IS NOT NULL),
+        WITH blocked AS (
+          SELECT * FROM (SELECT *, `{item}` div {block} AS block FROM {{counts}}) WHERE block IS NOT NULL),
         inside AS (SELECT *, sum(n) OVER (PARTITION BY {key}, block ORDER BY `{item}`) - n AS before FROM blocked),
         totals AS (SELECT {key}, block, sum(n) AS size FROM blocked GROUP BY {key}, block),
         offsets AS (

@@ -23,11 +23,19 @@ from cohortrec.operators.recommend import (
     cluster_movie_list,
     cluster_movies,
     recommend,
+    title_lists,
 )
 from cohortrec.plans.materialize import materialize
+from cohortrec.plans.settings import input_bytes, size_shuffles
 from cohortrec.sources import sinks
 from cohortrec.sources.tables import replace_table
-from cohortrec.sources.text import read_ratings, read_seed_centroids, read_test_users, read_titles
+from cohortrec.sources.text import (
+    read_ratings,
+    read_seed_centroids,
+    read_test_users,
+    read_titles,
+    with_movie_arrays,
+)
 
 
 @dataclass(frozen=True)
@@ -82,6 +90,7 @@ def run_files(
 
     Without ``test_users_path`` the first 500 profiles are exported and used as test users.
     """
+    size_shuffles(spark, input_bytes(spark, ratings_path))
     titles = read_titles(spark, titles_path)
     seeds = centroid_rows(read_seed_centroids(spark, seeds_path, k))
     cohorts = build_cohorts(read_ratings(spark, ratings_path), titles, seeds)
@@ -95,14 +104,14 @@ def run_files(
     if test_users_path is None:
         test_users_path = f"{out}/test_users"
         sinks.write_lines(sinks.holdout_lines(holdout_users(cohorts.profiles)), test_users_path)
-    tests = read_test_users(spark, test_users_path)
-    tests = tests.selectExpr("* except (movies)", "cast(filter(split(movies, ','), m -> m <> '') as array<bigint>) as movies")
+    tests = with_movie_arrays(read_test_users(spark, test_users_path))
     labelled = materialize(classify(first_rows(cohorts.profiles), tests), "knn_assignments")
     replace_table(labelled, f"{out}/knn_assignments")
 
     movies = materialize(cluster_movies(cohorts.profiles), "cluster_movies")
     replace_table(movies, f"{out}/cluster_movies")
-    top = recommend(labelled, movies, titles)
+    top = materialize(recommend(labelled, movies, titles), "recommendations")
     sinks.write_lines(sinks.recommendation_lines(top), f"{out}/recommendations")
+    sinks.write_lines(sinks.title_list_lines(title_lists(top, titles)), f"{out}/title_lists")
     everything = recommend(labelled, movies, titles, limit=None)
     sinks.write_lines(sinks.recommendation_lines(everything), f"{out}/all_recommendations")

@@ -94,7 +94,9 @@ def headered_ingest(spark, sf):
     """One headered text per movie, cut into splits of 10000 sequence numbers each."""
     rated = standin.ratings(spark, sf)
     header = standin.titles(spark, sf).select(
-        F.col("movie_id").alias("file"), F.lit(0).cast("long").alias("seq"), F.concat("movie_id", F.lit(":")).alias("value")
+        F.col("movie_id").alias("file"),
+        F.lit(0).cast("long").alias("seq"),
+        F.concat("movie_id", F.lit(":")).alias("value"),
     )
     data = rated.select(
         F.col("movie_id").alias("file"),
@@ -120,7 +122,8 @@ def cluster_list_scan(spark, sf):
 def cells_to_rows(spark, sf):
     """Padded, blank and quoted cells of one line per part."""
     quoted = F.concat(F.lit('"'), F.concat_ws(", ", "p_type", "p_brand"), F.lit('"'))
-    line = F.concat_ws(",", F.concat(F.lit("  "), "p_name"), F.lit("   "), quoted, F.lit(""), F.concat("p_size", F.lit(" ")))
+    padded = [F.concat(F.lit("  "), "p_name"), F.lit("   "), quoted, F.lit(""), F.concat("p_size", F.lit(" "))]
+    line = F.concat_ws(",", *padded)
     return text.cells_to_rows(tables.read_table(spark, f"{sf}/part.parquet").select(line.alias("value")))
 
 
@@ -135,7 +138,8 @@ def first_field(spark, sf):
 
 @query("upsert_latest")
 def upsert_latest(spark, sf):
-    return tables.latest_rows(standin.ratings(spark, sf), ["rating_key"], ["watch_date", "movie_id", "user_id", "rating"])
+    version = ["watch_date", "movie_id", "user_id", "rating"]
+    return tables.latest_rows(standin.ratings(spark, sf), ["rating_key"], version)
 
 
 @query("profile_text")

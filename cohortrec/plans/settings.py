@@ -1,0 +1,27 @@
+"""Session settings that depend on the size of the input."""
+
+from pyspark.sql import SparkSession
+
+SHUFFLE_PARTITION_BYTES = 128 << 20
+MAX_SHUFFLE_PARTITIONS = 100_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.getContentSummary(location).getLength()
+
+
+def size_shuffles(spark: SparkSession, total_bytes: int) -> int:
+    """Start shuffles with enough partitions for an input of this size.
+
+    Adaptive execution merges small partitions but never cuts one that an aggregation needs
+    whole, so the number it starts from has to grow with the data. It is never lowered.
+    """
+    fixed = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    current = int(spark.conf.get(INITIAL_PARTITIONS, None) or fixed)
+    wanted = min(-(-total_bytes // SHUFFLE_PARTITION_BYTES), MAX_SHUFFLE_PARTITIONS)
+    if wanted > current:
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    return max(wanted, current)

@@ -32,6 +32,11 @@ def cluster_list_lines(lists: DataFrame) -> DataFrame:
     return lists.select("part", F.concat_ws("\t", "cluster_id", "movies").alias("line"))
 
 
+def title_list_lines(lists: DataFrame) -> DataFrame:
+    """``user <tab> title,title,...``"""
+    return lists.select("part", F.concat_ws("\t", "user_id", "titles").alias("line"))
+
+
 def write_lines(lines: DataFrame, path: str) -> None:
     writer = lines.write.mode("overwrite")
     if "part" in lines.columns:

@@ -34,6 +34,12 @@ def latest_rows(rows: DataFrame, key: Sequence[str], version: Sequence[str]) ->
     return rows.groupBy(*key).agg(newest).select(*columns)
 
 
+def upsert(table: DataFrame, updates: DataFrame, key: Sequence[str]) -> DataFrame:
+    """A new snapshot of ``table`` in which ``updates``, one row per key, replace or add rows."""
+    kept = table.join(updates.select(*key), list(key), "left_anti")
+    return kept.unionByName(updates)
+
+
 def wide_rows(ratings: DataFrame, part_size: int | None = None) -> DataFrame:
     """One open map ``values`` of movie to rating per user; the latest rating of a movie counts.
 
@@ -46,7 +52,7 @@ def wide_rows(ratings: DataFrame, part_size: int | None = None) -> DataFrame:
     parts = list_parts(latest, ["user_id"], "movie_id", "_cells", value="rating", **size)
     text_cell = F.transform(
         "_cells",
-        lambda cell: F.struct(cell["movie_id"].cast("string").alias("k"), cell["rating"].cast("string").alias("v")),
+        lambda cell: F.struct(cell["movie_id"].cast("string"), cell["rating"].cast("string")),
     )
     return parts.select("user_id", "part", F.map_from_entries(text_cell).alias("values"))
 
@@ -54,13 +60,16 @@ def wide_rows(ratings: DataFrame, part_size: int | None = None) -> DataFrame:
 def wide_cells(wide: DataFrame) -> DataFrame:
     """The map rows of ``wide_rows`` back in long form."""
     return wide.select("user_id", F.explode("values").alias("movie_id", "rating")).select(
-        "user_id", F.col("movie_id").cast("long").alias("movie_id"), F.col("rating").cast("int").alias("rating")
+        "user_id",
+        F.col("movie_id").cast("long").alias("movie_id"),
+        F.col("rating").cast("int").alias("rating"),
     )
 
 
 def register_views(profiles: DataFrame, assignments: DataFrame) -> None:
     """Make clustered profiles and classified test users visible to SQL, with flat typed columns."""
+    typed = ("user_id", "avg_release_year", "avg_watch_year", "avg_rating", "membership", "part")
     for name, frame in (("profiles", profiles), ("knn_assignments", assignments)):
-        columns = [c for c in ("user_id", "avg_release_year", "avg_watch_year", "avg_rating", "membership", "part") if c in frame.columns]
+        columns = [c for c in typed if c in frame.columns]
         movies = [joined(F.col("movies")).alias("movies")] if "movies" in frame.columns else []
         frame.select(*columns, *movies).createOrReplaceTempView(name)

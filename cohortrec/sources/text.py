@@ -37,7 +37,8 @@ def parse_titles(lines: DataFrame) -> DataFrame:
     """
     fields = F.split("value", ",", 3)
     title = F.get(fields, F.lit(2))
-    unquoted = F.when(title.rlike('^".*"$'), F.replace(title.substr(F.lit(2), F.length(title) - 2), F.lit('""'), F.lit('"')))
+    inner = F.replace(title.substr(F.lit(2), F.length(title) - 2), F.lit('""'), F.lit('"'))
+    unquoted = F.when(title.rlike('^".*"$'), inner)
     return lines.select(
         F.get(fields, F.lit(0)).try_cast("long").alias("movie_id"),
         F.get(fields, F.lit(1)).try_cast("int").alias("release_year"),
@@ -85,6 +86,11 @@ def read_test_users(spark: SparkSession, path: str) -> DataFrame:
     return parse_test_users(read_lines(spark, path))
 
 
+def with_movie_arrays(test_users: DataFrame) -> DataFrame:
+    """The list text of ``movies`` as an id array."""
+    return test_users.withColumn("movies", id_items(F.col("movies")).cast("array<bigint>"))
+
+
 def parse_seed_centroids(lines: DataFrame, k: int) -> DataFrame:
     """The first ``k`` non-blank ``x,y`` lines, numbered from 0 in line order."""
     first = lines.where("value <> ''").orderBy(*PLACE).limit(k)

@@ -5,6 +5,9 @@ import pytest
 from cohortrec.operators import profile
 
 RATINGS = "rating_key long, movie_id long, user_id long, rating int, watch_date date"
+PROFILES = (
+    "user_id long, avg_rating double, avg_watch_year double, avg_release_year double, part long, movies array<long>"
+)
 TITLES = "movie_id long, release_year int, title string"
 
 
@@ -69,13 +72,11 @@ def test_histogram(spark):
 
 def test_holdout_in_text_order(spark):
     rows = [(u, 0.0, 2000.0, 1990.0, p, [u]) for u in (1, 2, 10, 11, 3) for p in range(2 if u == 10 else 1)]
-    schema = "user_id long, avg_rating double, avg_watch_year double, avg_release_year double, part long, movies array<long>"
-    chosen = profile.holdout_users(spark.createDataFrame(rows, schema), limit=3)
+    chosen = profile.holdout_users(spark.createDataFrame(rows, PROFILES), limit=3)
     assert sorted((r.user_id, r.part) for r in chosen.collect()) == [(1, 0), (10, 0), (10, 1), (11, 0)]
 
 
 def test_lookup(spark):
-    schema = "user_id long, avg_rating double, avg_watch_year double, avg_release_year double, part long, movies array<long>"
-    profiles = spark.createDataFrame([(u, 0.0, 2000.0, 1990.0, 0, [u]) for u in range(5)], schema)
+    profiles = spark.createDataFrame([(u, 0.0, 2000.0, 1990.0, 0, [u]) for u in range(5)], PROFILES)
     wanted = spark.createDataFrame([(1,), (1,), (9,)], "user_id long")
     assert [r.user_id for r in profile.lookup_profiles(profiles, wanted).collect()] == [1]

@@ -4,7 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from cohortrec.operators import profile
-from cohortrec.plans import jobs
+from cohortrec.plans import jobs, settings
 from cohortrec.sources import sinks, text
 
 PROFILES = (
@@ -78,6 +78,8 @@ def test_all_stages_from_text(spark, tmp_path):
     expected = {u: sorted(cluster[label] - watched[u]) for u, label in labels.items()}
     top = sorted(f"\t{u},Title {m}, part" for u, ms in expected.items() for m in ms[:10])
     assert file_lines(f"{out}/recommendations") == top
+    lists = sorted(f"{u}\t" + ",".join(f"Title {m}, part" for m in ms[:10]) for u, ms in expected.items() if ms)
+    assert file_lines(f"{out}/title_lists") == lists
     everything = sorted(f"\t{u},Title {m}, part" for u, ms in expected.items() for m in ms)
     assert file_lines(f"{out}/all_recommendations") == everything
     assert len(file_lines(f"{out}/test_users")) == len(file_lines(f"{out}/profile_text")) == 60
@@ -85,3 +87,14 @@ def test_all_stages_from_text(spark, tmp_path):
     assert {int(u): r.cluster_id for r in members for u in r.members.split(",")} == {
         u: r.membership for u, r in profiles.items()
     }
+
+
+def test_shuffles_grow_with_the_input(spark, tmp_path):
+    (tmp_path / "a").write_text("x" * 1000)
+    assert settings.input_bytes(spark, str(tmp_path)) == 1000
+    try:
+        assert settings.size_shuffles(spark, 1000) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert settings.size_shuffles(spark, 100 << 40) == settings.MAX_SHUFFLE_PARTITIONS
+        assert settings.size_shuffles(spark, 1 << 40) == settings.MAX_SHUFFLE_PARTITIONS
+    finally:
+        spark.conf.unset(settings.INITIAL_PARTITIONS)

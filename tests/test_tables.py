@@ -12,8 +12,15 @@ def test_latest_rows(spark):
     assert sorted(map(tuple, tables.latest_rows(rows, ["k"], ["version"]).collect())) == [(1, 9, "new"), (2, 1, "only")]
 
 
+def test_upsert_replaces_and_adds(spark):
+    table = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    updates = spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")
+    assert sorted(map(tuple, tables.upsert(table, updates, ["k"]).collect())) == [(1, "a"), (2, "c"), (3, "d")]
+
+
 def test_wide_rows_round_trip_in_parts(spark):
-    data = [(1, m, m % 5, DAY(2005, 1, 1)) for m in range(10)] + [(1, 3, 5, DAY(2006, 1, 1)), (2, 7, 1, DAY(2004, 1, 1))]
+    data = [(1, m, m % 5, DAY(2005, 1, 1)) for m in range(10)]
+    data += [(1, 3, 5, DAY(2006, 1, 1)), (2, 7, 1, DAY(2004, 1, 1))]
     ratings = spark.createDataFrame(data, "user_id long, movie_id long, rating int, watch_date date")
     wide = tables.wide_rows(ratings, part_size=4)
     assert dict(wide.dtypes)["values"] == "map<string,string>"
@@ -30,7 +37,10 @@ def test_replace_table(spark, tmp_path):
 
 
 def test_views(spark):
-    profiles = spark.sql("select 1L user_id, 1990D avg_release_year, 2004D avg_watch_year, 1D avg_rating, 3 membership, array(5L, 6L) movies")
+    profiles = spark.sql(
+        """select 1L user_id, 1990D avg_release_year, 2004D avg_watch_year, 1D avg_rating, 3 membership,
+                  array(5L, 6L) movies"""
+    )
     tables.register_views(profiles, profiles.drop("avg_rating"))
     row = spark.sql("select p.movies, k.membership from profiles p join knn_assignments k using (membership)").first()
     assert tuple(row) == ("5,6", 3)
