@@ -331,7 +331,8 @@ def recommend_all(spark, sf):
 @query("prediction_names")
 def prediction_names(spark, sf):
     titles = standin.titles(spark, sf)
-    return recommend.title_lists(jobs.recommend_top(_cohorts(spark, sf), titles), titles)
+    top = materialize(jobs.recommend_top(_cohorts(spark, sf), titles), "recommendations")
+    return recommend.title_lists(top, titles)
 
 
 @query("cohort_join")

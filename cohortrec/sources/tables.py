@@ -49,7 +49,7 @@ def wide_rows(ratings: DataFrame, part_size: int | None = None) -> DataFrame:
     latest = ratings.groupBy("user_id", "movie_id").agg(newest)
     latest = latest.select("user_id", "movie_id", F.col("_newest.rating").alias("rating"))
     size = {} if part_size is None else {"part_size": part_size}
-    parts = list_parts(latest, ["user_id"], "movie_id", "_cells", value="rating", **size)
+    parts = list_parts(latest, ["user_id"], "movie_id", "_cells", value="rating", sizing=ratings, **size)
     text_cell = F.transform(
         "_cells",
         lambda cell: F.struct(cell["movie_id"].cast("string"), cell["rating"].cast("string")),
