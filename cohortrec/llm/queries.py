@@ -1,14 +1,34 @@
 """The registered queries of this package: (spark, sf_dir) to the rows of each operator's contract."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortrec.llm import exact_dedup, quality, sharding
+from cohortrec.llm import exact_dedup, packing, quality, sharding, token_files
+from cohortrec.llm.storage import new_path
+
+WORD_BPE = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "tokens")
+    token_files.write_token_files(_table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_BPE))
+    return token_files.read_token_files(spark, path).select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(_table(spark, sf_dir, "documents"))
 
@@ -23,6 +43,8 @@ def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_files": op1_token_files,
+    "op2_packing": op2_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_quality": op9_quality,
     "op10_rendezvous_shards": op10_rendezvous_shards,

@@ -7,9 +7,10 @@ itself, and a removed one only gives its own rows away. Everything is one narrow
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortrec.llm.ranks import gapless_rank
 from cohortrec.plans.materialize import materialize
 
 
@@ -53,22 +54,8 @@ def assign_shards(
         F.spark_partition_id().alias("part"),
     )
     placed = materialize(placed, "placed")
-    # One row per shard and scan task.
-    counts = placed.groupBy("shard", "part").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("shard").orderBy("part")) - F.col("n")
-    inside = F.row_number().over(Window.partitionBy("shard", "part").orderBy("doc_id")) - 1
-    return (
-        placed.withColumn("inside", inside)
-        .join(counts.select("shard", "part", before.alias("before")), ["shard", "part"])
-        .select(
-            "doc_id",
-            "size",
-            "text_crc32",
-            F.lit("key").alias("law"),
-            "shard",
-            (F.col("before") + F.col("inside")).alias("slot"),
-            "grown_shard",
-        )
+    return gapless_rank(placed, ["shard"], "part", ["doc_id"], "slot").select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
     )
 
 
