@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortrec.llm import exact_dedup, packing, quality, sharding, token_files
+from cohortrec.llm import exact_dedup, packing, quality, sharding, simhash, token_files
 from cohortrec.llm.storage import new_path
 
 WORD_BPE = "word_bpe_49k.json"
@@ -29,6 +29,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(_table(spark, sf_dir, "documents"))
 
@@ -45,12 +49,14 @@ def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_packing": op2_packing,
+    "op3_simhash": op3_simhash,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_quality": op9_quality,
     "op10_rendezvous_shards": op10_rendezvous_shards,
 }
 
 SQL = {
+    "op3_simhash": op3_simhash,
     "op7_exact_dedup": r"""
         WITH rows AS (
           SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS content FROM documents)
