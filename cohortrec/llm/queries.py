@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortrec.llm import exact_dedup, packing, quality, sharding, simhash, token_files
+from cohortrec.llm import exact_dedup, packing, quality, secrets, sharding, simhash, token_files
 from cohortrec.llm.storage import new_path
 
 WORD_BPE = "word_bpe_49k.json"
@@ -33,6 +33,20 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def secret_digest(scanned: DataFrame) -> DataFrame:
+    """Counts and joined spans of ``secrets.scan``."""
+    base = "filter(spans, s -> s.kind <> 'guess')"
+    joined = "array_join(transform({}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')"
+    counts = [f"cast(size(filter(spans, s -> s.kind = '{k}')) as long) AS n_{k}" for k in ("assign", "access", "hex")]
+    return scanned.selectExpr(
+        "doc_id", *counts, f"sha2({joined.format(base)}, 256) AS base_sha256", f"{joined.format('spans')} AS spans"
+    )
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(secrets.scan(_table(spark, sf_dir, "documents")))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(_table(spark, sf_dir, "documents"))
 
@@ -50,6 +64,7 @@ QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_packing": op2_packing,
     "op3_simhash": op3_simhash,
+    "op4_secrets": op4_secrets,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_quality": op9_quality,
     "op10_rendezvous_shards": op10_rendezvous_shards,
