@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortrec.llm import exact_dedup, packing, quality, secrets, sharding, simhash, token_files
+from cohortrec.llm import embeddings, exact_dedup, packing, quality, secrets, sharding, simhash, token_files
 from cohortrec.llm.storage import new_path
 
 WORD_BPE = "word_bpe_49k.json"
@@ -47,6 +47,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(secrets.scan(_table(spark, sf_dir, "documents")))
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(_table(spark, sf_dir, "documents"))
 
@@ -65,12 +69,31 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_simhash": op3_simhash,
     "op4_secrets": op4_secrets,
+    "op5_embeddings": op5_embeddings,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_quality": op9_quality,
     "op10_rendezvous_shards": op10_rendezvous_shards,
 }
 
 SQL = {
+    "op5_embeddings": """
+        WITH RECURSIVE able AS (
+          SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, x -> x <> 0)) > 0),
+        links AS (
+          SELECT a.vec_id AS a, b.vec_id AS b FROM able a JOIN able b ON a.label = b.label AND a.vec_id <> b.vec_id
+          WHERE len(a.v) = len(b.v)
+            AND list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.98),
+        reach AS (
+          SELECT vec_id AS a, vec_id AS b FROM embeddings
+          UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+        named AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+        counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM embeddings JOIN named ON vec_id = named.a LEFT JOIN counted ON vec_id = counted.a
+    """,
     "op3_simhash": op3_simhash,
     "op7_exact_dedup": r"""
         WITH rows AS (

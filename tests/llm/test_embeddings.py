@@ -1,0 +1,78 @@
+"""Embedding groups against all pairs in double precision."""
+
+import math
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from cohortrec.llm import embeddings
+from cohortrec.llm.components import forest
+
+
+def brute(rows, threshold):
+    def usable(r):
+        v = r[1]
+        return r[2] is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+    links, a, b = [0] * len(rows), [], []
+    for i, x in enumerate(rows):
+        for j, y in enumerate(rows[:i]):
+            if usable(x) and usable(y) and x[2] == y[2] and len(x[1]) == len(y[1]):
+                u, v = np.array(x[1], dtype=np.float64), np.array(y[1], dtype=np.float64)
+                if u @ v / (np.linalg.norm(u) * np.linalg.norm(v)) >= threshold:
+                    links[i] += 1
+                    links[j] += 1
+                    a.append(i), b.append(j)
+    root = list(range(len(rows)))
+    for node, top in zip(*forest(a, b)):
+        root[node] = top
+    least = {}
+    for r, row in zip(root, rows):
+        if row[0] is not None:
+            least[r] = min(row[0], least.get(r, row[0]))
+    return sorted((str(row[0]), n, least.get(r)) for row, n, r in zip(rows, links, root))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10_000), st.integers(1, 70), st.sampled_from([0.3, 0.9, 0.98, 1.0]))
+def test_bound_never_loses_a_pair(seed, dim, threshold):
+    rng = np.random.default_rng(seed)
+    base = rng.normal(size=(20, dim)) * 10.0 ** rng.integers(-3, 4, size=(20, dim))
+    x = np.concatenate([base, base + rng.normal(size=base.shape) * 0.1 * np.abs(base)])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    codes = embeddings.quantise(x)
+    found = set(zip(*embeddings.candidates(codes, codes, threshold)))
+    real = set(zip(*np.nonzero(x @ x.T >= threshold)))
+    assert real <= found
+
+
+@pytest.mark.parametrize("block", [embeddings.BLOCK, 7])
+def test_groups_equal_all_pairs(spark, block):
+    rng = np.random.default_rng(3)
+    rows = []
+    for label in (0, 1, None):
+        centres = rng.normal(size=(5, 8))
+        for i in range(60):
+            v = centres[i % 5] + rng.normal(size=8) * (0.12 if i % 3 else 0.3)
+            rows.append([len(rows), np.float32(v).tolist(), label])
+    copy = rows[0][1]
+    for extra in (copy, copy, [2 * x for x in copy], None, [], [0.0] * 8, [None] + copy[1:], [math.nan] + copy[1:], [math.inf] + copy[1:], copy[:4], [1e38] * 8, [1e-38] * 8):
+        rows.append([len(rows), extra, 0])
+    rows.append([None, copy, 0])
+    rows.append([5, rows[5][1], rows[5][2]])
+    table = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<float>, label int, vector string, n long")
+    found = embeddings.near_vectors(table.repartition(4), block=block).collect()
+    expected = brute([tuple(r) for r in rows], 0.98)
+    assert sorted((str(r.vec_id), r.n_links, r.component_id) for r in found) == expected
+    assert all(r.kept == (r.vec_id == r.component_id) for r in found)
+    assert sum(not r.kept for r in found) > 50
+
+
+def test_dense_tile_and_empty(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, (np.ones(6) + rng.normal(size=6) * 0.01).tolist(), 1) for i in range(700)]
+    found = embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), block=256).collect()
+    assert {(r.n_links, r.component_id) for r in found} == {(699, 0)}
+    assert embeddings.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).collect() == []
