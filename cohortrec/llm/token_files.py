@@ -89,9 +89,9 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     ids as little-endian unsigned 32-bit integers."""
     table = spark.read.schema(SEGMENTS).parquet(path)
     totals = table.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    # One row per written part.
+    # One row per written part, hence the broadcast.
     base = (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base")
-    placed = table.join(totals.select("part", base), "part").select(
+    placed = table.join(F.broadcast(totals.select("part", base)), "part").select(
         (F.col("base") + F.col("part_start")).alias("start"), "doc_ids", "doc_lengths", "data"
     )
 
