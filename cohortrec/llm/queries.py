@@ -80,8 +80,8 @@ SQL = {
         WITH RECURSIVE able AS (
           SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
           WHERE label IS NOT NULL AND embedding IS NOT NULL
-            AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-            AND len(list_filter(embedding, x -> x <> 0)) > 0),
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
         links AS (
           SELECT a.vec_id AS a, b.vec_id AS b FROM able a JOIN able b ON a.label = b.label AND a.vec_id <> b.vec_id
           WHERE len(a.v) = len(b.v)
