@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortrec.llm import embeddings, exact_dedup, packing, quality, secrets, sharding, simhash, token_files
+from cohortrec.llm import embeddings, exact_dedup, html_template, packing, quality, secrets, sharding, simhash, token_files
 from cohortrec.llm.storage import new_path
 
 WORD_BPE = "word_bpe_49k.json"
@@ -51,6 +51,11 @@ def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+def op6_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    articles = html_template.extract_articles(_table(spark, sf_dir, "pages"))
+    return articles.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(_table(spark, sf_dir, "documents"))
 
@@ -70,6 +75,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_secrets": op4_secrets,
     "op5_embeddings": op5_embeddings,
+    "op6_html_template": op6_html_template,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_quality": op9_quality,
     "op10_rendezvous_shards": op10_rendezvous_shards,
