@@ -277,8 +277,10 @@ def near_groups(
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One document of each group stays, the one with the smallest id, with all its columns."""
+    """One document of each group stays, the one with the smallest id, with all its columns.
+
+    Rows without an id all stay.
+    """
     groups = near_groups(docs, shingle, max_bits)
-    dropped = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    dropped = dropped.select(F.col("doc_id").alias("_dropped_id"))
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(F.col("_dropped_id")), "left_anti")
+    dropped = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_dropped_id"))
+    return docs.join(dropped, docs["doc_id"] == F.col("_dropped_id"), "left_anti")
