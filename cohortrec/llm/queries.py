@@ -100,7 +100,6 @@ SQL = {
         SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
         FROM embeddings JOIN named ON vec_id = named.a LEFT JOIN counted ON vec_id = counted.a
     """,
-    "op3_simhash": op3_simhash,
     "op7_exact_dedup": r"""
         WITH rows AS (
           SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS content FROM documents)
