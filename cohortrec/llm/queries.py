@@ -4,10 +4,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortrec.llm import embeddings, exact_dedup, html_template, packing, quality, secrets, sharding, simhash, token_files
+from cohortrec.llm import embeddings, exact_dedup, html_template, packing, quality, secrets, sharding, simhash, suffix_pieces, token_files
 from cohortrec.llm.storage import new_path
 
 WORD_BPE = "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +61,18 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(_table(spark, sf_dir, "documents"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, and the checksum of the text decoded from them."""
+    model = public_tokenizers.path(PIECE_BPE)
+    encoded = suffix_pieces.encode_documents(_table(spark, sf_dir, "documents"), model)
+    return suffix_pieces.decode_documents(encoded, model).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_pieces"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.crc32(F.encode("text", "UTF-8")).alias("text_crc32"),
+    )
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality.score_documents(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
@@ -77,6 +90,7 @@ QUERIES = {
     "op5_embeddings": op5_embeddings,
     "op6_html_template": op6_html_template,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_quality": op9_quality,
     "op10_rendezvous_shards": op10_rendezvous_shards,
 }
