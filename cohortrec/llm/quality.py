@@ -177,12 +177,18 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
 
 
-def with_statistics(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(doc_id, f0, f1, ...)``"""
-    named = statistics(F.coalesce(F.col(text_col), F.lit("")))
+def with_statistics(docs: DataFrame, text: Column, keep: list[str], mark: str = "_f") -> DataFrame:
+    """Columns ``keep`` and the statistics as ``<mark>0``, ``<mark>1``, ...
+
+    The optimizer would move a filter on a score below this projection and repeat each statistic in
+    every rule. It leaves a projection alone that holds an expression of the running task, so one is
+    added as ``<mark>task``; a user of the statistics has to refer to it.
+    """
+    named = statistics(F.coalesce(text, F.lit("")))
     return docs.select(
-        F.col(id_col).alias("doc_id"),
-        *[named[name].cast("double").alias(f"f{i}") for i, name in enumerate(FEATURES)],
+        *keep,
+        *[named[n].cast("double").alias(f"{mark}{i}") for i, n in enumerate(FEATURES)],
+        F.spark_partition_id().alias(f"{mark}task"),
     )
 
 
@@ -203,13 +209,10 @@ def train(
     wanted = F.broadcast(chosen.withColumnRenamed("doc_id", "_labelled"))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.join(wanted, F.col("doc_id") == F.col("_labelled"))
-    named = statistics(F.coalesce(F.col("text"), F.lit("")))
-    sample = rows.select(
-        "doc_id", "quality", *[named[n].cast("double").alias(f"f{i}") for i, n in enumerate(FEATURES)]
-    )
+    sample = with_statistics(rows, F.col("text"), ["doc_id", "quality"])
     # A repeated document id must not lift the sample over its bound.
-    table = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "f0").limit(sample_rows).toArrow()
-    x = np.column_stack([table[f"f{i}"].to_numpy() for i in range(len(FEATURES))]).reshape(-1, len(FEATURES))
+    table = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "_f0").limit(sample_rows).toArrow()
+    x = np.column_stack([table[f"_f{i}"].to_numpy() for i in range(len(FEATURES))]).reshape(-1, len(FEATURES))
     return fit_rules(x, table["quality"].to_numpy())
 
 
@@ -221,10 +224,11 @@ def score_documents(
     Labels, language, source and id are no inputs of the score. NULL text counts as empty, empty
     text is scored by its zero statistics, a NULL id is not held out.
     """
-    scored = with_statistics(docs, id_col, text_col).select(
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    scored = with_statistics(rows, F.col("text"), ["doc_id"]).select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
-        model.score(lambda i: F.col(f"f{i}")).alias("score"),
+        F.when(F.col("_ftask") >= 0, model.score(lambda i: F.col(f"_f{i}"))).alias("score"),
     )
     return scored.select("*", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
@@ -233,10 +237,9 @@ def keep_good(
     docs: DataFrame, model: RuleEnsemble, threshold: float = KEEP_SCORE, text_col: str = "text"
 ) -> DataFrame:
     """The rows of ``docs`` with a score of at least ``threshold``, with all their columns."""
-    named = statistics(F.coalesce(F.col(text_col), F.lit("")))
-    packed = F.struct(*[named[n].cast("double").alias(f"f{i}") for i, n in enumerate(FEATURES)])
-    name = "_statistics"
-    while name in docs.columns:
-        name += "_"
-    scored = docs.withColumn(name, packed)
-    return scored.where(model.score(lambda i: F.col(name)[f"f{i}"]) >= threshold).drop(name)
+    mark = "_f"
+    while any(c.startswith(mark) for c in docs.columns):
+        mark += "_"
+    computed = with_statistics(docs, F.col(text_col), docs.columns, mark)
+    score = model.score(lambda i: F.col(f"{mark}{i}"))
+    return computed.where((score >= threshold) & (F.col(f"{mark}task") >= 0)).select(*docs.columns)
