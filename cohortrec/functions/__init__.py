@@ -1,6 +1,5 @@
 from cohortrec.functions.scalars import (
     centered,
-    euclidean,
     id_items,
     manhattan,
     round_half_up,
@@ -10,7 +9,6 @@ from cohortrec.functions.scalars import (
 
 __all__ = [
     "centered",
-    "euclidean",
     "id_items",
     "manhattan",
     "round_half_up",

@@ -16,11 +16,6 @@ def round_half_up(value: Column) -> Column:
     return F.floor(value + F.lit(0.5)).cast("double")
 
 
-def euclidean(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
-    dx, dy = x1 - x2, y1 - y2
-    return F.sqrt(dx * dx + dy * dy)
-
-
 def manhattan(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     return F.abs(x1 - x2) + F.abs(y1 - y2)
 

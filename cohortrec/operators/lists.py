@@ -2,44 +2,49 @@
 
 A list per user or per cluster has no upper bound, so it is never built in one row or task.
 It is cut into parts of ``part_size`` items: part 0 holds the smallest items, and only the last
-part is shorter. A group that fits into one part is a single row with part 0.
+part is shorter. A group that fits into one part is a single row with part 0. NULL items are no
+entries; a group with nothing else has one row with an empty list. NULL is a key like any other.
 """
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortrec.plans.materialize import materialize
 
 LIST_PART_SIZE = 100_000
-ITEM_BLOCK = 1 << 13
 
 
-def list_start(
-    counts: DataFrame, keys: Sequence[str], item: str, block: int = ITEM_BLOCK
-) -> DataFrame:
-    """Add ``start``: how many list entries of the group come before this item.
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], mark: str = "_") -> Column:
+    """Equality of ``left``'s keys and ``right``'s keys named with ``mark``, in which NULL equals NULL."""
+    return functools.reduce(Column.__and__, [left[k].eqNullSafe(right[f"{mark}{k}"]) for k in keys])
+
+
+def marked(rows: DataFrame, keys: Sequence[str], mark: str = "_") -> DataFrame:
+    return rows.withColumnsRenamed({k: f"{mark}{k}" for k in keys})
 
-    ``counts`` has one row per (keys, item) and its number of entries ``n``. No window holds a
-    whole group: ranks are taken inside blocks of item ids, and one total per block is
-    accumulated over the group.
+
+def list_start(counts: DataFrame, keys: Sequence[str], order: Sequence[str | Column], parts: int | None = None) -> DataFrame:
+    """Add ``start``: how many list entries of the group come before this row in ``order``.
+
+    ``counts`` has one row per (keys, order) and its number of entries ``n``. The rows are range-partitioned
+    at sampled bounds and written, so a window holds one range of a group whatever its size and
+    however its items are spread; one total per (group, range) gives the entries before.
     """
-    key = ", ".join(f"`{k}`" for k in keys)
-    # Both sides of the join filter on the block, so that they share one shuffle of the counts.
-    return counts.sparkSession.sql(
-        f"""
-        WITH blocked AS (
-          SELECT * FROM (SELECT *, `{item}` div {block} AS block FROM {{counts}}) WHERE block IS NOT NULL),
-        inside AS (SELECT *, sum(n) OVER (PARTITION BY {key}, block ORDER BY `{item}`) - n AS before FROM blocked),
-        totals AS (SELECT {key}, block, sum(n) AS size FROM blocked GROUP BY {key}, block),
-        offsets AS (
-          SELECT {key}, block, sum(size) OVER (PARTITION BY {key} ORDER BY block) - size AS offset FROM totals)
-        SELECT * EXCEPT (block, before, offset), offset + before AS start
-        FROM inside JOIN offsets USING ({key}, block)
-        """,
-        counts=counts,
-    )
+    keys, order = list(keys), list(order)
+    spark = counts.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = counts.repartitionByRange(parts, *keys, *order).withColumn("_range", F.spark_partition_id())
+    ranged = materialize(ranged, "ranges")
+    totals = ranged.groupBy(*keys, "_range").agg(F.sum("n").alias("_size"))
+    offset = F.sum("_size").over(Window.partitionBy(*keys).orderBy("_range")) - F.col("_size")
+    totals = marked(totals.select(*keys, "_range", offset.alias("_offset")), [*keys, "_range"])
+    inside = F.sum("n").over(Window.partitionBy(*keys, "_range").orderBy(*order)) - F.col("n")
+    placed = ranged.withColumn("_before", inside)
+    placed = placed.join(totals, same_keys(placed, totals, [*keys, "_range"]))
+    return placed.select(*counts.columns, (F.col("_offset") + F.col("_before")).alias("start"))
 
 
 def cut_lists(
@@ -52,22 +57,20 @@ def cut_lists(
 ) -> DataFrame:
     """One row per (keys, part) with the ascending array ``out`` of that part's items.
 
-    ``value`` names a column fixed by the item; the array then holds ``struct(item, value)``.
-    Entries are counted per item before the shuffle, so neither a long list nor an item that is
-    repeated very often meets in one task.
+    With ``value`` the array holds ``struct(item, value)``, ascending by both. Entries are counted
+    before the shuffle, so neither a long list nor an item that is repeated very often meets in one task.
     """
     keys = list(keys)
-    values = [] if value is None else [F.first(value).alias(value)]
-    counts = entries.groupBy(*keys, item).agg(F.count("*").alias("n"), *values)
+    fields = [item] if value is None else [item, value]
+    counts = entries.where(F.col(item).isNotNull()).groupBy(*keys, *fields).agg(F.count("*").alias("n"))
     first_part, last_part = f"start div {part_size}", f"(start + n - 1) div {part_size}"
     begin = F.greatest(F.col("start"), F.col("part") * part_size)
     end = F.least(F.col("start") + F.col("n"), (F.col("part") + 1) * part_size)
     pieces = (
-        list_start(counts, keys, item)
+        list_start(counts, keys, fields)
         .withColumn("part", F.explode(F.expr(f"sequence({first_part}, {last_part})")))
         .withColumn("_copies", (end - begin).cast("int"))
     )
-    fields = [item] if value is None else [item, value]
 
     def repeated(run: Column) -> Column:
         entry = run[item] if value is None else F.struct(*[run[f].alias(f) for f in fields])
@@ -75,7 +78,16 @@ def cut_lists(
 
     runs = pieces.repartition(*keys, "part").groupBy(*keys, "part")
     runs = runs.agg(F.sort_array(F.collect_list(F.struct(*fields, "_copies"))).alias("_runs"))
-    return runs.select(*keys, "part", F.flatten(F.transform("_runs", repeated)).alias(out))
+    lists = runs.select(*keys, "part", F.flatten(F.transform("_runs", repeated)).alias(out))
+
+    groups = marked(entries.select(*keys).distinct(), keys)
+    whole = groups.join(lists, same_keys(lists, groups, keys), "left")
+    empty = F.array().cast(lists.schema[out].dataType)
+    return whole.select(
+        *[F.col(f"_{k}").alias(k) for k in keys],
+        F.coalesce("part", F.lit(0).cast("long")).alias("part"),
+        F.coalesce(out, empty).alias(out),
+    )
 
 
 def list_parts(
@@ -88,36 +100,31 @@ def list_parts(
     aggregates: Sequence[Column] = (),
     sizing: DataFrame | None = None,
 ) -> DataFrame:
-    """The rows of ``cut_lists`` for groups that mostly fit into one part.
+    """The rows of ``cut_lists``, with ``aggregates`` over the whole group repeated on each of its parts.
 
-    ``aggregates`` are computed over the whole group and repeated on each of its parts.
-    ``sizing`` may be a cheaper frame whose rows per key bound the group size from above.
-
-    Keys of larger groups are found first, with a count that shuffles one row per key and task.
-    Usually there are none, and the lists take a single ``groupBy``; otherwise only these groups
-    take the longer way.
+    ``sizing`` may be a cheaper frame whose rows per key bound the group size from above; a count over
+    it finds the keys of groups that may not fit into one part. The plan is the same whatever it
+    finds: those groups take ``cut_lists``, the others one ``groupBy``. Where there are none, adaptive
+    execution sees the empty list of keys and drops that branch before it reads anything.
     """
     keys = list(keys)
     sizes = entries if sizing is None else sizing
     large = sizes.groupBy(*keys).agg(F.count("*").alias("_size")).where(F.col("_size") > part_size)
-    large = large.select(*keys)
-
-    element = F.col(item) if value is None else F.struct(item, value)
+    large = materialize(marked(large.select(*keys), keys), "large_groups")
 
-    def whole(rows: DataFrame) -> DataFrame:
-        # Shuffled first: lists do not shrink map-side, they would only be sorted there in vain.
-        lists = rows.repartition(*keys).groupBy(*keys)
-        lists = lists.agg(*aggregates, F.sort_array(F.collect_list(element)).alias(out))
-        return lists.withColumn("part", F.lit(0).cast("long"))
+    # Shuffled first: lists do not shrink map-side, they would only be sorted there in vain.
+    element = F.col(item) if value is None else F.when(F.col(item).isNotNull(), F.struct(item, value))
+    rest = entries.join(large, same_keys(entries, large, keys), "left_anti")
+    whole = rest.repartition(*keys).groupBy(*keys)
+    whole = whole.agg(*aggregates, F.sort_array(F.collect_list(element)).alias(out))
+    whole = whole.withColumn("part", F.lit(0).cast("long"))
 
-    if large.isEmpty():
-        return whole(entries)
-    large = materialize(large, "large_groups")
-    rest = entries.join(large, keys, "left_semi")
-    cut = cut_lists(rest, keys, item, out, part_size, value)
+    long = entries.join(large, same_keys(entries, large, keys), "left_semi")
+    cut = cut_lists(long, keys, item, out, part_size, value)
     if aggregates:
-        cut = cut.join(rest.groupBy(*keys).agg(*aggregates), keys)
-    return whole(entries.join(large, keys, "left_anti")).unionByName(cut)
+        totals = marked(long.groupBy(*keys).agg(*aggregates), keys)
+        cut = cut.join(totals, same_keys(cut, totals, keys)).drop(*[f"_{k}" for k in keys])
+    return whole.unionByName(cut)
 
 
 def joined(ids: Column) -> Column:

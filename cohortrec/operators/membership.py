@@ -16,7 +16,7 @@ def cluster_members(clustered: DataFrame, part_size: int = CLUSTER_PART_SIZE) ->
     entries = first_rows(clustered).where("membership is not null")
     entries = entries.select(F.col("membership").alias("cluster_id"), "user_id")
     parts = cut_lists(entries, ["cluster_id"], "user_id", "_ids", part_size)
-    return parts.select("cluster_id", "part", joined(F.col("_ids")).alias("members"))
+    return parts.select("cluster_id", "part", joined(F.col("_ids")).alias("members")).where("members <> ''")
 
 
 def cluster_sizes(clustered: DataFrame) -> DataFrame:
@@ -31,17 +31,26 @@ def assign_from_members(profiles: DataFrame, members: DataFrame) -> DataFrame:
     return profiles.join(listed, "user_id")
 
 
-def cohort_join(spark: SparkSession) -> DataFrame:
-    """Every test user with the users of its cluster, from the registered views.
+# Users of a cluster per slice of the cohort join.
+SLICE = 4096
+
+
+def cohort_join(spark: SparkSession, prefix: str = "") -> DataFrame:
+    """Every test user with the users of its cluster, from the views that ``register_views`` made.
 
     As long as (test users x users of their cluster), so meant for a bounded set of test users.
-    A cluster is one of few join keys; hash slices of its users spread it over more tasks.
+    A cluster is one of few join keys; hash slices, as many as its users need, spread it over tasks.
     """
     return spark.sql(
-        """
+        f"""
+        WITH sizes AS (
+          SELECT membership, count(*) div {SLICE} + 1 AS slices FROM {prefix}profiles
+          WHERE membership IS NOT NULL GROUP BY membership)
         SELECT k.user_id AS test_user_id, p.user_id, p.membership
-        FROM (SELECT user_id, membership, pmod(hash(user_id), 32) AS slice FROM profiles) p
-        JOIN (SELECT user_id, membership, explode(sequence(0, 31)) AS slice FROM knn_assignments WHERE part = 0) k
+        FROM (SELECT user_id, membership, pmod(hash(user_id), slices) AS slice
+              FROM {prefix}profiles JOIN sizes USING (membership)) p
+        JOIN (SELECT user_id, membership, explode(sequence(0L, slices - 1)) AS slice
+              FROM {prefix}knn_assignments JOIN sizes USING (membership) WHERE part = 0) k
           ON p.membership = k.membership AND p.slice = k.slice
         """
     )

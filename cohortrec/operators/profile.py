@@ -18,6 +18,8 @@ def watch_years(ratings: DataFrame) -> DataFrame:
 def rated_titles(ratings: DataFrame, titles: DataFrame) -> DataFrame:
     """Ratings with the release year of their movie; a rating of an unknown movie is dropped.
 
+    ``titles`` has one row per movie; the readers and ``jobs.latest_tables`` see to that.
+
     The join carries no hint: the optimizer broadcasts titles when their measured size allows
     it and otherwise shuffles, where adaptive execution splits a movie with very many ratings.
     """
@@ -34,8 +36,9 @@ def _mean(value: Column) -> Column:
 def build_profiles(ratings: DataFrame, titles: DataFrame, part_size: int = LIST_PART_SIZE) -> DataFrame:
     """Rounded means and the ascending movie list of every user, repeated ratings kept.
 
-    One shuffle by user. A user with more than ``part_size`` ratings has several rows that
-    differ in ``part`` and ``movies``; ``first_rows`` gives one row per user.
+    A user with more than ``part_size`` ratings has several rows that differ in ``part`` and
+    ``movies``; ``first_rows`` gives one row per user. Such users are found by a count over the user
+    ids alone; all others take one shuffle of the ratings.
     """
     means = [
         round_half_up(_mean(centered(F.col("rating")))).alias("avg_rating"),
@@ -95,7 +98,7 @@ def holdout_users(profiles: DataFrame, limit: int = 500) -> DataFrame:
     Planned as a top-k per task, so only ``limit`` rows per task reach the final merge.
     """
     key = F.col("user_id").cast("string")
-    chosen = first_rows(profiles).select("user_id").orderBy(key).limit(limit)
+    chosen = first_rows(profiles).where("user_id is not null").select("user_id").orderBy(key).limit(limit)
     return profiles.join(chosen, "user_id", "left_semi").select(
         "user_id", "avg_watch_year", "avg_release_year", "part", "movies"
     )

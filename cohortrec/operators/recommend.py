@@ -1,4 +1,7 @@
-"""Movies of a cluster, and the ones among them that a user has not seen."""
+"""Movies of a cluster, and the ones among them that a user has not seen.
+
+``titles`` has one row per movie everywhere; the readers and ``jobs.latest_tables`` see to that.
+"""
 
 from collections.abc import Sequence
 
@@ -9,9 +12,9 @@ from cohortrec.operators.lists import LIST_PART_SIZE, cut_lists, joined, list_pa
 from cohortrec.operators.membership import CLUSTER_PART_SIZE
 
 RECOMMENDATIONS = 10
-# Ranks per join bucket in the capped search, and hash slices per cluster in the uncapped one.
+# Ranks per join bucket in the capped search, and per slice of a cluster in the uncapped one.
 RANK_BUCKET = 64
-SLICES = 32
+SLICE = 4096
 
 
 def _cluster_entries(clustered: DataFrame) -> DataFrame:
@@ -27,7 +30,7 @@ def cluster_movies(clustered: DataFrame) -> DataFrame:
 def cluster_movie_list(clustered: DataFrame, part_size: int = CLUSTER_PART_SIZE) -> DataFrame:
     """The ascending movie list of every cluster with repeats, ``part_size`` entries per row."""
     parts = cut_lists(_cluster_entries(clustered), ["cluster_id"], "movie_id", "_ids", part_size)
-    return parts.select("cluster_id", "part", joined(F.col("_ids")).alias("movies"))
+    return parts.select("cluster_id", "part", joined(F.col("_ids")).alias("movies")).where("movies <> ''")
 
 
 def watched_movies(test_users: DataFrame) -> DataFrame:
@@ -40,29 +43,40 @@ def _labels(test_users: DataFrame) -> DataFrame:
     return firsts.select("user_id", F.col("membership").alias("cluster_id"))
 
 
+def ranked_movies(movies: DataFrame, order: Sequence[str | Column] = ("movie_id",)) -> DataFrame:
+    """``movies`` with ``start``, the place of each movie in its cluster from 0."""
+    return list_start(movies.withColumn("n", F.lit(1).cast("long")), ["cluster_id"], order).drop("n")
+
+
 def unseen_movies(test_users: DataFrame, movies: DataFrame, watched: DataFrame) -> DataFrame:
     """All movies of a test user's cluster without the watched ones: ``(user_id, movie_id)``.
 
-    The result is as long as (test users x movies of their cluster). A cluster is one of few
-    join keys, so its movies are spread over hash slices and the few test-user rows repeated.
+    The result is as long as (test users x movies of their cluster), so ask for it only where all of
+    it is wanted. A cluster is one of few join keys: its movies are joined in slices of ``SLICE``
+    ranks, as many as the cluster needs.
     """
-    sliced = movies.withColumn("_slice", F.pmod(F.hash("movie_id"), F.lit(SLICES)))
-    spread = _labels(test_users).withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
+    sliced = ranked_movies(movies).withColumn("_slice", F.expr(f"start div {SLICE}")).drop("start")
+    sizes = sliced.groupBy("cluster_id").agg(F.max("_slice").alias("_last"))
+    spread = _labels(test_users).join(sizes, "cluster_id")
+    spread = spread.withColumn("_slice", F.explode(F.expr("sequence(0L, _last)")))
     offered = spread.join(sliced, ["cluster_id", "_slice"]).select("user_id", "movie_id")
     return offered.join(watched, ["user_id", "movie_id"], "left_anti")
 
 
 def first_unseen(
-    test_users: DataFrame, movies: DataFrame, watched: DataFrame, limit: int = RECOMMENDATIONS
+    test_users: DataFrame,
+    movies: DataFrame,
+    watched: DataFrame,
+    limit: int = RECOMMENDATIONS,
+    order: Sequence[str | Column] = ("movie_id",),
 ) -> DataFrame:
-    """The ``limit`` smallest unseen movie ids per test user, without listing all candidates.
+    """The first ``limit`` unseen movies per test user in ``order``: ``(user_id, movie_id, rn)``.
 
     A user who watched ``w`` movies finds the first ``limit`` unseen ones among the first
     ``limit + w`` movies of the cluster, since the watched ones can push out at most ``w``.
-    Only these are joined, by (cluster, rank bucket), so the work is the limit plus the watched
-    movies of each user whatever the size of the cluster.
+    Movies are ranked once per cluster, and only these are joined, by (cluster, rank bucket), so the
+    work is the limit plus the watched movies of each user whatever the size of the cluster.
     """
-    ranked = list_start(movies.withColumn("n", F.lit(1).cast("long")), ["cluster_id"], "movie_id")
     unseen = movies.sparkSession.sql(
         f"""
         WITH seen AS (SELECT user_id, count(*) AS n FROM {{watched}} GROUP BY user_id),
@@ -73,19 +87,15 @@ def first_unseen(
           SELECT *, explode(sequence(0L, (reach - 1) div {RANK_BUCKET})) AS bucket FROM reach),
         ranked AS (SELECT *, start div {RANK_BUCKET} AS bucket FROM {{ranked}}),
         offered AS (
-          SELECT user_id, movie_id FROM wanted JOIN ranked USING (cluster_id, bucket) WHERE start < reach)
-        SELECT user_id, movie_id FROM offered ANTI JOIN {{watched}} USING (user_id, movie_id)
+          SELECT user_id, movie_id, start FROM wanted JOIN ranked USING (cluster_id, bucket) WHERE start < reach)
+        SELECT user_id, movie_id, start FROM offered ANTI JOIN {{watched}} USING (user_id, movie_id)
         """,
-        ranked=ranked,
+        ranked=ranked_movies(movies, order),
         labels=_labels(test_users),
         watched=watched,
     )
-    return _capped(unseen, [F.col("movie_id")], limit)
-
-
-def _capped(unseen: DataFrame, order: Sequence[Column], limit: int) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy("user_id").orderBy(*order))
-    return unseen.withColumn("rn", rank).where(F.col("rn") <= limit)
+    rank = F.row_number().over(Window.partitionBy("user_id").orderBy("start"))
+    return unseen.withColumn("rn", rank).where(F.col("rn") <= limit).drop("start")
 
 
 def recommend(
@@ -99,28 +109,38 @@ def recommend(
     """Unseen movies of the cluster with their titles; a movie without a title gets NULL.
 
     ``limit=None`` gives all of them. Ascending movie id is the default order of the cap;
-    another ``order`` may use any column of ``titles`` and is then applied to all candidates.
-    ``titles`` has one row per movie.
+    another ``order`` may use any column of ``titles``, and ties take the smaller movie id.
     """
     watched = watched_movies(test_users) if watched is None else watched
-    if limit is not None and order is None:
-        return first_unseen(test_users, movies, watched, limit).join(
-            titles.select("movie_id", "title"), "movie_id", "left"
-        ).select("user_id", "movie_id", "title", "rn")
-    unseen = unseen_movies(test_users, movies, watched).join(titles, "movie_id", "left")
-    if limit is not None:
-        unseen = _capped(unseen, [*order, F.col("movie_id")], limit)
-        return unseen.select("user_id", "movie_id", "title", "rn")
-    return unseen.select("user_id", "movie_id", "title")
+    named = titles.select("movie_id", "title")
+    if limit is None:
+        return unseen_movies(test_users, movies, watched).join(named, "movie_id", "left").select(
+            "user_id", "movie_id", "title"
+        )
+    if order is None:
+        top = first_unseen(test_users, movies, watched, limit)
+    else:
+        described = movies.join(titles, "movie_id", "left")
+        top = first_unseen(test_users, described, watched, limit, [*order, F.col("movie_id")])
+    return top.join(named, "movie_id", "left").select("user_id", "movie_id", "title", "rn")
 
 
 def unseen_summary(test_users: DataFrame, movies: DataFrame, watched: DataFrame) -> DataFrame:
-    """Number, first and last id of all unseen movies per test user."""
-    return unseen_movies(test_users, movies, watched).groupBy("user_id").agg(
-        F.count("*").alias("n"),
-        F.min("movie_id").alias("first_movie_id"),
-        F.max("movie_id").alias("last_movie_id"),
-    )
+    """Number, first and last id of all unseen movies per test user, without listing them.
+
+    The number is the size of the cluster less the watched movies in it; the ends are capped searches
+    from both sides.
+    """
+    sizes = movies.groupBy("cluster_id").agg(F.count("*").alias("size"))
+    labels = _labels(test_users).where("cluster_id is not null")
+    inside = watched.join(labels, "user_id").join(movies, ["cluster_id", "movie_id"])
+    inside = inside.groupBy("user_id").agg(F.count("*").alias("seen"))
+    counts = labels.join(sizes, "cluster_id").join(inside, "user_id", "left")
+    counts = counts.select("user_id", (F.col("size") - F.coalesce("seen", F.lit(0))).alias("n"))
+    first = first_unseen(test_users, movies, watched, 1).select("user_id", F.col("movie_id").alias("first_movie_id"))
+    last = first_unseen(test_users, movies, watched, 1, [F.desc("movie_id")])
+    last = last.select("user_id", F.col("movie_id").alias("last_movie_id"))
+    return counts.join(first, "user_id").join(last, "user_id")
 
 
 def title_lists(pairs: DataFrame, titles: DataFrame, part_size: int = LIST_PART_SIZE) -> DataFrame:

@@ -18,10 +18,12 @@ def cosine_similarity(vectors: DataFrame, pairs: DataFrame) -> DataFrame:
     joined on ids, the second one also on the movie, so work and shuffle are the summed length
     of the requested vectors and one popular movie does not meet all other rows.
     """
-    norms = vectors.groupBy("vec_id").agg(F.sqrt(F.sum(F.col("rating") * F.col("rating"))).alias("norm"))
     left = vectors.select(F.col("vec_id").alias("left_id"), "movie_id", F.col("rating").alias("_l"))
     right = vectors.select(F.col("vec_id").alias("right_id"), "movie_id", F.col("rating").alias("_r"))
     pairs = pairs.select("left_id", "right_id").distinct()
+    asked = pairs.select(F.explode(F.array("left_id", "right_id")).alias("vec_id")).distinct()
+    norms = vectors.join(asked, "vec_id", "left_semi").groupBy("vec_id")
+    norms = norms.agg(F.sqrt(F.sum(F.col("rating") * F.col("rating"))).alias("norm"))
     dots = (
         pairs.join(left, "left_id")
         .join(right, ["right_id", "movie_id"])

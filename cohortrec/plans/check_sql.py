@@ -168,7 +168,18 @@ SQL: dict[str, str] = {
         """SELECT CAST(row_number() OVER (ORDER BY user_id) - 1 AS INT) AS cluster_id, avg_release_year AS x, avg_watch_year AS y
            FROM people ORDER BY user_id LIMIT 20""",
     ),
-    "headered_ingest": _sql(BASE, "SELECT movie_id, user_id, rating, watch_date FROM ratings"),
+    "headered_ingest": _sql(
+        BASE,
+        """SELECT row_number() OVER (ORDER BY movie_id, rating_key, user_id, rating, watch_date) - 1 AS rating_key,
+                  movie_id, user_id, rating, watch_date FROM ratings""",
+    ),
+    "quoted_cells": """
+        SELECT trim(text, ' ') AS cell FROM documents WHERE text IS NOT NULL AND source IS NOT NULL
+        UNION ALL SELECT source FROM documents WHERE text IS NOT NULL AND source IS NOT NULL""",
+    "titles_latest": _sql(
+        BASE, "SELECT movie_id, CAST(release_year + 1 AS INT) AS release_year, title || ', 1' AS title FROM titles"
+    ),
+    "replace_table": _sql(BASE, "SELECT movie_id, title FROM titles WHERE release_year > 1960"),
     "wide_row_map": _sql(
         BASE,
         """SELECT user_id, movie_id, rating FROM ratings
@@ -296,6 +307,9 @@ SQL: dict[str, str] = {
     "cluster_movie_list": _sql(FITTED, _CLUSTER_LIST.format(item="movie_id", out="movies", source="cluster_entries")),
     "recommend_candidates": _sql(CANDIDATES, "SELECT user_id, movie_id FROM candidates"),
     "recommend_top10": _sql(CANDIDATES, "SELECT user_id, movie_id, title, rn FROM top"),
+    "recommendation_text": _sql(
+        CANDIDATES, "SELECT chr(9) || user_id || ',' || coalesce(title, 'null') AS line FROM top"
+    ),
     "recommend_all": _sql(
         CANDIDATES,
         """SELECT user_id, count(*) AS n, min(movie_id) AS first_movie_id, max(movie_id) AS last_movie_id

@@ -25,11 +25,11 @@ from cohortrec.operators.recommend import (
     recommend,
     title_lists,
 )
-from cohortrec.plans.materialize import materialize
-from cohortrec.plans.settings import input_bytes, size_shuffles
+from cohortrec.plans.materialize import materialize, scoped_tables
 from cohortrec.sources import sinks
-from cohortrec.sources.tables import replace_table
+from cohortrec.sources.tables import latest_rows, replace_table
 from cohortrec.sources.text import (
+    read_headered,
     read_ratings,
     read_seed_centroids,
     read_test_users,
@@ -59,8 +59,20 @@ def cluster_profiles(
     return Cohorts(with_membership(profiles, model.members_of, features), model)
 
 
+def latest_tables(ratings: DataFrame, titles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both tables with one row per key, as a keyed store would hold them after loading.
+
+    Of ratings with one key the latest counts, of titles of one movie the greatest. ``titles`` may
+    have a column ``version`` that decides before the others.
+    """
+    version = ["version"] if "version" in titles.columns else []
+    titles = latest_rows(titles, ["movie_id"], [*version, "release_year", "title"])
+    version = ["watch_date", "movie_id", "user_id", "rating"]
+    return latest_rows(ratings, ["rating_key"], version), titles.select("movie_id", "release_year", "title")
+
+
 def build_cohorts(ratings: DataFrame, titles: DataFrame, seeds: Sequence[Centroid]) -> Cohorts:
-    """Profile build and clustering; the ratings are shuffled once, by user."""
+    """Profile build and clustering. ``titles`` must have one row per movie, see ``latest_tables``."""
     return cluster_profiles(materialize(build_profiles(ratings, titles), "profiles"), seeds)
 
 
@@ -85,15 +97,38 @@ def run_files(
     out: str,
     test_users_path: str | None = None,
     k: int = CLUSTERS,
+    headered: bool = False,
+    list_all: bool = False,
 ) -> None:
     """All stages from text inputs to tables and text outputs under ``out``.
 
-    Without ``test_users_path`` the first 500 profiles are exported and used as test users.
+    Without ``test_users_path`` the first 500 profiles are exported and used as test users. With
+    ``headered`` the ratings are files of ``movie_id:`` lines and ``user,rating,date`` lines, and their rows
+    are kept in ``out/ratings``. ``list_all`` also writes every unseen movie of every test user, which is as long as
+    test users times movies of their cluster. Tables between the stages are deleted at the end.
     """
-    size_shuffles(spark, input_bytes(spark, ratings_path))
-    titles = read_titles(spark, titles_path)
+    with scoped_tables(spark):
+        if headered:
+            replace_table(read_headered(spark, ratings_path), f"{out}/ratings")
+            ratings = spark.read.parquet(f"{out}/ratings")
+        else:
+            ratings = read_ratings(spark, ratings_path)
+        _run(spark, ratings, titles_path, seeds_path, out, test_users_path, k, list_all)
+
+
+def _run(
+    spark: SparkSession,
+    ratings: DataFrame,
+    titles_path: str,
+    seeds_path: str,
+    out: str,
+    test_users_path: str | None,
+    k: int,
+    list_all: bool,
+) -> None:
+    titles = materialize(read_titles(spark, titles_path), "titles")
     seeds = centroid_rows(read_seed_centroids(spark, seeds_path, k))
-    cohorts = build_cohorts(read_ratings(spark, ratings_path), titles, seeds)
+    cohorts = build_cohorts(ratings, titles, seeds)
 
     sinks.write_lines(sinks.profile_lines(cohorts.profiles), f"{out}/profile_text")
     replace_table(cohorts.profiles, f"{out}/profiles")
@@ -113,5 +148,6 @@ def run_files(
     top = materialize(recommend(labelled, movies, titles), "recommendations")
     sinks.write_lines(sinks.recommendation_lines(top), f"{out}/recommendations")
     sinks.write_lines(sinks.title_list_lines(title_lists(top, titles)), f"{out}/title_lists")
-    everything = recommend(labelled, movies, titles, limit=None)
-    sinks.write_lines(sinks.recommendation_lines(everything), f"{out}/all_recommendations")
+    if list_all:
+        everything = recommend(labelled, movies, titles, limit=None)
+        sinks.write_lines(sinks.recommendation_lines(everything), f"{out}/all_recommendations")

@@ -1,12 +1,16 @@
 """Written tables that cut lineage between the stages of a job."""
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Fallback folder of local sessions without a configured one.
 _local_root: str | None = None
+# Open scopes, each with the folders written inside it.
+_scopes: list[list[str]] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -37,12 +41,31 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     after an executor loss restart from the table instead of the raw ratings.
     """
     spark = df.sparkSession
-    path = f"{_application_root(spark)}/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    folder = f"{_application_root(spark)}/{uuid.uuid4().hex}"
+    for scope in _scopes:
+        scope.append(folder)
+    df.write.parquet(f"{folder}/{name}")
+    return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 
-def release_tables(spark: SparkSession) -> None:
-    """Delete the tables this application materialized, once no frame over them is needed."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_application_root(spark))
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextlib.contextmanager
+def scoped_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that are materialized inside the block when it ends, and no others."""
+    folders: list[str] = []
+    _scopes.append(folders)
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        for folder in folders:
+            _delete(spark, folder)
+
+
+def release_tables(spark: SparkSession) -> None:
+    """Delete all tables this application materialized, once no frame over them is needed."""
+    _delete(spark, _application_root(spark))

@@ -1,14 +1,15 @@
 """The registered queries: every operator over the whole stand-in tables of a directory."""
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortrec.operators import kmeans, knn, membership, profile, recommend, similarity
 from cohortrec.operators.lists import joined
 from cohortrec.plans import jobs, standin
-from cohortrec.plans.materialize import materialize
+from cohortrec.plans.materialize import materialize, shared_root
 from cohortrec.sources import sinks, tables, text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,8 +92,9 @@ def seed_centroids(spark, sf):
 
 @query("headered_ingest")
 def headered_ingest(spark, sf):
-    """One headered text per movie, cut into splits of 10000 sequence numbers each."""
-    rated = standin.ratings(spark, sf)
+    """One headered text per movie, cut into splits of 10 lines each."""
+    place = Window.partitionBy("movie_id").orderBy("rating_key", "user_id", "rating", "watch_date")
+    rated = standin.ratings(spark, sf).withColumn("line", F.row_number().over(place).cast("long"))
     header = standin.titles(spark, sf).select(
         F.col("movie_id").alias("file"),
         F.lit(0).cast("long").alias("seq"),
@@ -100,11 +102,11 @@ def headered_ingest(spark, sf):
     )
     data = rated.select(
         F.col("movie_id").alias("file"),
-        (F.col("rating_key") + 1).alias("seq"),
+        F.col("line").alias("seq"),
         F.concat_ws(",", "user_id", "rating", "watch_date").alias("value"),
     )
-    lines = header.unionByName(data).withColumn("split", F.expr("seq div 10000"))
-    return text.parse_headered(lines).drop("rating_key")
+    lines = header.unionByName(data).withColumn("split", F.expr("seq div 10"))
+    return text.parse_headered(lines)
 
 
 @query("wide_row_map")
@@ -127,6 +129,25 @@ def cells_to_rows(spark, sf):
     return text.cells_to_rows(tables.read_table(spark, f"{sf}/part.parquet").select(line.alias("value")))
 
 
+@query("quoted_cells")
+def quoted_cells(spark, sf):
+    """Every document as one quoted cell with doubled quotes, beside a plain cell."""
+    doubled = F.replace("text", F.lit('"'), F.lit('""'))
+    line = F.concat(F.lit('"'), doubled, F.lit('",'), "source")
+    return text.cells_to_rows(tables.read_table(spark, f"{sf}/documents.parquet").select(line.alias("value")))
+
+
+@query("titles_latest")
+def titles_latest(spark, sf):
+    """Title lines that repeat every movie; the later line counts."""
+    version = F.explode(F.array(F.lit(0), F.lit(1))).alias("split")
+    rows = standin.titles(spark, sf).select("*", version)
+    line = F.concat_ws(",", "movie_id", F.col("release_year") + F.col("split"), F.concat_ws(", ", "title", "split"))
+    return text.parse_titles(
+        rows.select(F.lit("titles").alias("file"), "split", F.col("movie_id").alias("seq"), line.alias("value"))
+    )
+
+
 @query("first_field")
 def first_field(spark, sf):
     documents = tables.read_table(spark, f"{sf}/documents.parquet", ["text"])
@@ -142,6 +163,16 @@ def upsert_latest(spark, sf):
     return tables.latest_rows(standin.ratings(spark, sf), ["rating_key"], version)
 
 
+@query("replace_table")
+def replace_table(spark, sf):
+    """A table that is written, replaced by another snapshot, and read."""
+    path = f"{shared_root(spark)}/cohortrec/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}/titles"
+    titles = standin.titles(spark, sf)
+    tables.replace_table(titles, path)
+    tables.replace_table(titles.where("release_year > 1960"), path)
+    return tables.read_table(spark, path, ["movie_id", "title"])
+
+
 @query("profile_text")
 def profile_text(spark, sf):
     return sinks.profile_lines(_profiles(spark, sf)).select("line")
@@ -328,18 +359,24 @@ def recommend_all(spark, sf):
     return recommend.unseen_summary(*_offer(spark, sf))
 
 
+@query("recommendation_text")
+def recommendation_text(spark, sf):
+    return sinks.recommendation_lines(jobs.recommend_top(_cohorts(spark, sf), standin.titles(spark, sf)))
+
+
 @query("prediction_names")
 def prediction_names(spark, sf):
+    """The recommendations as pair lines, parsed again and named."""
     titles = standin.titles(spark, sf)
-    top = materialize(jobs.recommend_top(_cohorts(spark, sf), titles), "recommendations")
-    return recommend.title_lists(top, titles)
+    top = materialize(sinks.pair_lines(jobs.recommend_top(_cohorts(spark, sf), titles)), "pairs")
+    return recommend.title_lists(text.parse_prediction_pairs(top.withColumnRenamed("line", "value")), titles)
 
 
 @query("cohort_join")
 def cohort_join(spark, sf):
     cohorts = _cohorts(spark, sf)
-    tables.register_views(profile.first_rows(cohorts.profiles), jobs.classified_holdout(cohorts))
-    return membership.cohort_join(spark)
+    tables.register_views(profile.first_rows(cohorts.profiles), jobs.classified_holdout(cohorts), "checked_")
+    return membership.cohort_join(spark, "checked_")
 
 
 @query("cosine_similarity")

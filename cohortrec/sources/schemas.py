@@ -1,4 +1,4 @@
-"""Column types of every source; nothing is inferred from the data."""
+"""Column types of the sources that Spark parses by schema; nothing is inferred from the data."""
 
 from pyspark.sql import types as T
 
@@ -11,18 +11,3 @@ RATINGS = T.StructType(
         T.StructField("watch_date", T.DateType()),
     ]
 )
-
-TITLES = T.StructType(
-    [
-        T.StructField("movie_id", T.LongType()),
-        T.StructField("release_year", T.IntegerType()),
-        T.StructField("title", T.StringType()),
-    ]
-)
-
-PREDICTION_PAIRS = T.StructType(
-    [
-        T.StructField("user_id", T.LongType()),
-        T.StructField("movie_id", T.LongType()),
-    ]
-)

@@ -43,10 +43,11 @@ def upsert(table: DataFrame, updates: DataFrame, key: Sequence[str]) -> DataFram
 def wide_rows(ratings: DataFrame, part_size: int | None = None) -> DataFrame:
     """One open map ``values`` of movie to rating per user; the latest rating of a movie counts.
 
-    Users with more movies than ``part_size`` get several rows, told apart by ``part``.
+    Users with more movies than ``part_size`` get several rows, told apart by ``part``. A rating
+    without a movie is no cell.
     """
     newest = F.max(F.struct("watch_date", "rating")).alias("_newest")
-    latest = ratings.groupBy("user_id", "movie_id").agg(newest)
+    latest = ratings.where("movie_id is not null").groupBy("user_id", "movie_id").agg(newest)
     latest = latest.select("user_id", "movie_id", F.col("_newest.rating").alias("rating"))
     size = {} if part_size is None else {"part_size": part_size}
     parts = list_parts(latest, ["user_id"], "movie_id", "_cells", value="rating", sizing=ratings, **size)
@@ -66,10 +67,13 @@ def wide_cells(wide: DataFrame) -> DataFrame:
     )
 
 
-def register_views(profiles: DataFrame, assignments: DataFrame) -> None:
-    """Make clustered profiles and classified test users visible to SQL, with flat typed columns."""
+def register_views(profiles: DataFrame, assignments: DataFrame, prefix: str = "") -> None:
+    """Make clustered profiles and classified test users visible to SQL, with flat typed columns.
+
+    The views are named ``profiles`` and ``knn_assignments`` behind ``prefix``.
+    """
     typed = ("user_id", "avg_release_year", "avg_watch_year", "avg_rating", "membership", "part")
     for name, frame in (("profiles", profiles), ("knn_assignments", assignments)):
         columns = [c for c in typed if c in frame.columns]
         movies = [joined(F.col("movies")).alias("movies")] if "movies" in frame.columns else []
-        frame.select(*columns, *movies).createOrReplaceTempView(name)
+        frame.select(*columns, *movies).createOrReplaceTempView(f"{prefix}{name}")

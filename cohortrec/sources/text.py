@@ -4,13 +4,17 @@ Each format has a reader that takes a path and a parser that takes the lines as
 Where the order of lines matters, lines carry their place in the input: ``file``, ``split``
 (byte offset of the scan split in the file) and ``seq`` (ascending inside a split). A split is
 bounded by ``spark.sql.files.maxPartitionBytes``, so no step needs a whole file in one task.
+
+One rule holds for bad input everywhere: a row whose ids cannot be parsed is left out, any other
+value that cannot be parsed is NULL.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortrec.functions import id_items
-from cohortrec.sources.schemas import PREDICTION_PAIRS, RATINGS
+from cohortrec.plans.materialize import materialize
+from cohortrec.sources.schemas import RATINGS
 
 PLACE = ["file", "split", "seq"]
 
@@ -25,57 +29,81 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _rating_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(RATINGS).csv(path, dateFormat="yyyy-MM-dd")
+
+
+_RATING_IDS = "user_id is not null and movie_id is not null"
+
+
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
     """``rating_key,movie_id,user_id,rating,watch_date`` without a header line."""
-    return spark.read.schema(RATINGS).csv(path, dateFormat="yyyy-MM-dd")
+    return _rating_lines(spark, path).where(_RATING_IDS)
+
+
+def rejected_ratings(spark: SparkSession, path: str) -> DataFrame:
+    """The lines that ``read_ratings`` leaves out, for counting or keeping."""
+    return _rating_lines(spark, path).where(f"not ({_RATING_IDS})")
 
 
 def parse_titles(lines: DataFrame) -> DataFrame:
     """``movie_id,release_year,title``; commas inside the title belong to the title.
 
-    An unparsable year is NULL, a line without a numeric id is dropped.
+    An unparsable year is NULL, a line without a numeric id is dropped. Of several lines of one movie the
+    last one counts where lines carry their place; without it they must not repeat a movie.
     """
     fields = F.split("value", ",", 3)
     title = F.get(fields, F.lit(2))
     inner = F.replace(title.substr(F.lit(2), F.length(title) - 2), F.lit('""'), F.lit('"'))
     unquoted = F.when(title.rlike('^".*"$'), inner)
-    return lines.select(
+    placed = [F.struct(*PLACE).alias("_place")] if set(PLACE) <= set(lines.columns) else []
+    rows = lines.select(
         F.get(fields, F.lit(0)).try_cast("long").alias("movie_id"),
         F.get(fields, F.lit(1)).try_cast("int").alias("release_year"),
         F.coalesce(unquoted, title).alias("title"),
+        *placed,
     ).where("movie_id is not null")
+    if not placed:
+        return rows
+    last = F.max_by(F.struct("release_year", "title"), "_place").alias("_last")
+    return rows.groupBy("movie_id").agg(last).select("movie_id", "_last.release_year", "_last.title")
 
 
 def read_titles(spark: SparkSession, path: str) -> DataFrame:
-    return parse_titles(spark.read.text(path))
+    """One row per movie; later lines replace earlier ones."""
+    return parse_titles(read_lines(spark, path))
 
 
-# Fixed format of a test-user line: three plain fields and a movie list, quoted when it has commas.
-TEST_USER_LINE = r'^([^,"]*),([^,"]*),([^,"]*),(?:"([^"]*)"|([^,"]*))$'
+# Fixed format of a test-user line: four fields, each of which may be quoted.
+TEST_USER_LINE = "^" + ",".join([r'(?:"([^"]*)"|([^,"]*))'] * 4) + "$"
 
 
 def parse_test_users(lines: DataFrame) -> DataFrame:
     """Lines with exactly four fields; of several lines of one user the last one counts.
 
-    Lists written in parts come from ``part=N`` directories; each part is replaced on its own.
+    A list longer than one line goes on in lines with the user ``id#part``; each part is replaced on its
+    own. A column ``part`` takes the place of that mark.
     """
-    part = F.col("part").cast("long") if "part" in lines.columns else F.lit(0).cast("long")
 
     def field(index: int) -> Column:
-        return F.regexp_extract("value", TEST_USER_LINE, index)
+        quoted, bare = (F.regexp_extract("value", TEST_USER_LINE, 2 * index - k) for k in (1, 0))
+        return F.concat(quoted, bare)
 
+    user = F.split(field(1), "#", 2)
+    marked = F.coalesce(F.get(user, F.lit(1)), F.lit("0")).try_cast("long")
+    part = F.col("part").cast("long") if "part" in lines.columns else marked
     rows = lines.where(F.col("value").rlike(TEST_USER_LINE)).select(
-        field(1).try_cast("long").alias("user_id"),
+        F.get(user, F.lit(0)).try_cast("long").alias("user_id"),
         part.alias("part"),
         F.struct(*PLACE).alias("_place"),
         F.struct(
             field(2).try_cast("double").alias("avg_watch_year"),
             field(3).try_cast("double").alias("avg_release_year"),
-            F.concat(field(4), field(5)).alias("movies"),
+            field(4).alias("movies"),
         ).alias("_row"),
     )
     return (
-        rows.where("user_id is not null")
+        rows.where("user_id is not null and part is not null")
         .groupBy("user_id", "part")
         .agg(F.max_by("_row", "_place").alias("_row"))
         .select("user_id", "_row.avg_watch_year", "_row.avg_release_year", "part", "_row.movies")
@@ -88,19 +116,19 @@ def read_test_users(spark: SparkSession, path: str) -> DataFrame:
 
 def with_movie_arrays(test_users: DataFrame) -> DataFrame:
     """The list text of ``movies`` as an id array."""
-    return test_users.withColumn("movies", id_items(F.col("movies")).cast("array<bigint>"))
+    ids = F.transform(id_items(F.col("movies")), lambda item: item.try_cast("long"))
+    return test_users.withColumn("movies", F.filter(ids, lambda movie: movie.isNotNull()))
 
 
 def parse_seed_centroids(lines: DataFrame, k: int) -> DataFrame:
-    """The first ``k`` non-blank ``x,y`` lines, numbered from 0 in line order."""
-    first = lines.where("value <> ''").orderBy(*PLACE).limit(k)
-    numbered = first.withColumn("_rn", F.row_number().over(Window.orderBy(*PLACE)))
+    """The first ``k`` ``x,y`` lines, numbered from 0 in line order; other lines are skipped."""
     fields = F.split("value", ",")
-    return numbered.select(
-        (F.col("_rn") - 1).cast("int").alias("cluster_id"),
-        fields[0].cast("double").alias("x"),
-        fields[1].cast("double").alias("y"),
-    )
+    points = lines.select(
+        *PLACE, F.get(fields, F.lit(0)).try_cast("double").alias("x"), F.get(fields, F.lit(1)).try_cast("double").alias("y")
+    ).where("x is not null and y is not null")
+    first = points.orderBy(*PLACE).limit(k)
+    numbered = first.withColumn("_rn", F.row_number().over(Window.orderBy(*PLACE)))
+    return numbered.select((F.col("_rn") - 1).cast("int").alias("cluster_id"), "x", "y")
 
 
 def read_seed_centroids(spark: SparkSession, path: str, k: int) -> DataFrame:
@@ -116,7 +144,8 @@ def carry_header(lines: DataFrame) -> DataFrame:
     """Give every data line the last ``movie_id:`` header above it in its file.
 
     The header is carried inside each split by a window over that split, and from split to
-    split by a window over one row per split, so a file of any size spreads over the cluster.
+    split by a window over the file's splits, so a file of any size spreads over the cluster. The
+    running key counts the same way: inside a split, over the splits of a file, and over files.
     """
     is_header = F.col("value").contains(":")
     split_key = ["file", "split"]
@@ -129,17 +158,18 @@ def carry_header(lines: DataFrame) -> DataFrame:
         F.when(is_header, F.replace("value", F.lit(":"), F.lit(""))).alias("_header"),
     )
     last_header = F.max_by("_header", F.when(F.col("_is_header"), F.col("seq")))
-    splits = (
-        tagged.groupBy(*split_key)
-        .agg(last_header.alias("_last"), F.count_if(~F.col("_is_header")).alias("_n"))
-        .select(
-            *split_key,
-            F.last("_last", ignorenulls=True)
-            .over(in_file.rowsBetween(Window.unboundedPreceding, -1))
-            .alias("_above"),
-            # One row per scan split: the driver already holds this list to plan the scan.
-            (F.sum("_n").over(Window.orderBy(*split_key)) - F.col("_n")).alias("_key_base"),
-        )
+    summary = tagged.groupBy(*split_key).agg(
+        last_header.alias("_last"), F.count_if(~F.col("_is_header")).alias("_n")
+    )
+    # Written, because it is used three times and the text should be read for it once.
+    summary = materialize(summary, "splits")
+    files = summary.groupBy("file").agg(F.sum("_n").alias("_file_n"))
+    # One row per file: the driver already holds this list to plan the scan.
+    files = files.select("file", (F.sum("_file_n").over(Window.orderBy("file")) - F.col("_file_n")).alias("_file_base"))
+    splits = summary.join(files, "file").select(
+        *split_key,
+        F.last("_last", ignorenulls=True).over(in_file.rowsBetween(Window.unboundedPreceding, -1)).alias("_above"),
+        (F.col("_file_base") + F.sum("_n").over(in_file) - F.col("_n")).alias("_key_base"),
     )
     in_order = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
@@ -161,12 +191,16 @@ def parse_headered(lines: DataFrame) -> DataFrame:
     ``rating_key`` runs from 0 over all data lines in (file, line) order.
     """
     fields = F.split("value", ",")
-    return carry_header(lines).select(
-        "rating_key",
-        F.col("header").cast("long").alias("movie_id"),
-        fields[0].cast("long").alias("user_id"),
-        fields[1].cast("int").alias("rating"),
-        fields[2].cast("date").alias("watch_date"),
+    return (
+        carry_header(lines)
+        .select(
+            "rating_key",
+            F.col("header").try_cast("long").alias("movie_id"),
+            F.get(fields, F.lit(0)).try_cast("long").alias("user_id"),
+            F.get(fields, F.lit(1)).try_cast("int").alias("rating"),
+            F.get(fields, F.lit(2)).try_cast("date").alias("watch_date"),
+        )
+        .where(_RATING_IDS)
     )
 
 
@@ -178,9 +212,12 @@ def read_headered(spark: SparkSession, path: str) -> DataFrame:
 def parse_cluster_list(lines: DataFrame) -> DataFrame:
     """``cluster_id <tab> m1,m2,...`` to one row per (cluster, movie), repeats kept."""
     fields = F.split("value", "\t", 2)
-    return lines.select(
-        fields[0].cast("int").alias("cluster_id"), F.explode(id_items(fields[1])).alias("movie_id")
-    ).withColumn("movie_id", F.col("movie_id").cast("long"))
+    items = F.explode(id_items(F.get(fields, F.lit(1)))).alias("movie_id")
+    return (
+        lines.select(F.get(fields, F.lit(0)).try_cast("int").alias("cluster_id"), items)
+        .withColumn("movie_id", F.col("movie_id").try_cast("long"))
+        .where("cluster_id is not null and movie_id is not null")
+    )
 
 
 def read_cluster_list(spark: SparkSession, path: str) -> DataFrame:
@@ -189,17 +226,24 @@ def read_cluster_list(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_member_list(members: DataFrame) -> DataFrame:
     """``(cluster_id, members)`` with a comma-separated list to one row per (cluster, user)."""
-    return members.select("cluster_id", F.explode(id_items(F.col("members"))).alias("user_id")).withColumn(
-        "user_id", F.col("user_id").cast("long")
-    )
+    users = members.select("cluster_id", F.explode(id_items(F.col("members"))).alias("user_id"))
+    return users.withColumn("user_id", F.col("user_id").try_cast("long")).where("user_id is not null")
+
+
+def parse_prediction_pairs(lines: DataFrame) -> DataFrame:
+    """``user_id,movie_id`` lines."""
+    fields = F.split("value", ",")
+    pair = [F.get(fields, F.lit(i)).try_cast("long").alias(name) for i, name in enumerate(("user_id", "movie_id"))]
+    return lines.select(*pair).where("user_id is not null and movie_id is not null")
 
 
 def read_prediction_pairs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PREDICTION_PAIRS).csv(path)
+    return parse_prediction_pairs(spark.read.text(path))
 
 
-# Fixed pattern of one CSV cell: a quoted text with doubled quotes, or a text without a comma.
-CSV_CELL = r'(?:^|,)(\s*"(?:[^"]|"")*"\s*|[^,]*)'
+# Fixed pattern of one CSV cell: a quoted text with doubled quotes, or a text without a comma. The
+# possessive quantifiers never step back, so a cell of any length needs no recursion.
+CSV_CELL = r'(?:^|,)(\s*+"[^"]*+(?:""[^"]*+)*+"\s*+|[^,]*)'
 
 
 def cells_to_rows(lines: DataFrame) -> DataFrame:
@@ -209,7 +253,7 @@ def cells_to_rows(lines: DataFrame) -> DataFrame:
     inner = F.col("cell").substr(F.lit(2), F.length("cell") - 2)
     unquoted = F.trim(F.replace(inner, F.lit('""'), F.lit('"')))
     return trimmed.select(
-        F.when(F.col("cell").rlike('^".*"$'), unquoted).otherwise(F.col("cell")).alias("cell")
+        F.when(F.col("cell").rlike('(?s)^".*"$'), unquoted).otherwise(F.col("cell")).alias("cell")
     ).where("cell <> ''")
 
 

@@ -4,7 +4,8 @@ import random
 from pyspark.sql import functions as F
 
 from cohortrec.operators import profile
-from cohortrec.plans import jobs, settings
+from cohortrec.plans import jobs
+from cohortrec.plans.materialize import shared_root
 from cohortrec.sources import sinks, text
 
 PROFILES = (
@@ -34,7 +35,7 @@ def test_holdout_round_trip_keeps_parts(spark, tmp_path):
     rows = [(1, 0.0, 2004.0, 1990.0, 0, [5, 6]), (1, 0.0, 2004.0, 1990.0, 1, [7]), (2, 0.0, 2003.0, 1980.0, 0, [9])]
     path = str(tmp_path / "tests")
     sinks.write_lines(sinks.holdout_lines(profile.holdout_users(spark.createDataFrame(rows, PROFILES))), path)
-    assert file_lines(path) == ['1,2004.0,1990.0,"5,6"', '1,2004.0,1990.0,"7"', '2,2003.0,1980.0,"9"']
+    assert file_lines(path) == ['1#1,2004.0,1990.0,"7"', '1,2004.0,1990.0,"5,6"', '2,2003.0,1980.0,"9"']
     found = text.read_test_users(spark, path).orderBy("user_id", "part").collect()
     assert [(r.user_id, r.part, r.movies) for r in found] == [(1, 0, "5,6"), (1, 1, "7"), (2, 0, "9")]
 
@@ -59,7 +60,8 @@ def test_all_stages_from_text(spark, tmp_path):
     (tmp_path / "seeds.txt").write_text("1955,2000\n\n1965,2001\n1975,2002\n1985,2003\n")
     out = str(tmp_path / "out")
     jobs.run_files(
-        spark, str(tmp_path / "ratings.csv"), str(tmp_path / "titles.txt"), str(tmp_path / "seeds.txt"), out, k=4
+        spark, str(tmp_path / "ratings.csv"), str(tmp_path / "titles.txt"), str(tmp_path / "seeds.txt"), out, k=4,
+        list_all=True,
     )
 
     watched = {}
@@ -89,12 +91,47 @@ def test_all_stages_from_text(spark, tmp_path):
     }
 
 
-def test_shuffles_grow_with_the_input(spark, tmp_path):
-    (tmp_path / "a").write_text("x" * 1000)
-    assert settings.input_bytes(spark, str(tmp_path)) == 1000
-    try:
-        assert settings.size_shuffles(spark, 1000) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-        assert settings.size_shuffles(spark, 100 << 40) == settings.MAX_SHUFFLE_PARTITIONS
-        assert settings.size_shuffles(spark, 1 << 40) == settings.MAX_SHUFFLE_PARTITIONS
-    finally:
-        spark.conf.unset(settings.INITIAL_PARTITIONS)
+def test_null_fields_survive_the_round_trip(spark, tmp_path):
+    rows = [(1, 0.0, None, 1990.0, 0, [5]), (2, 0.0, 2003.0, None, 0, []), (3, None, None, None, 0, [7]), (None, 0.0, 1.0, 2.0, 0, [8])]
+    profiles = spark.createDataFrame(rows, PROFILES)
+    path = str(tmp_path / "tests")
+    sinks.write_lines(sinks.holdout_lines(profile.holdout_users(profiles, limit=3)), path)
+    found = text.with_movie_arrays(text.read_test_users(spark, path)).orderBy("user_id").collect()
+    assert [tuple(r) for r in found] == [(1, None, 1990.0, 0, [5]), (2, 2003.0, None, 0, []), (3, None, None, 0, [7])]
+    assert sinks.profile_lines(profiles).where("line like '3%'").first().line == "3\t,,,7"
+
+
+def test_files_do_not_follow_parts(spark, tmp_path):
+    lists = spark.range(3000).selectExpr("cast(id % 3 as int) cluster_id", "id part", "'1' movies").coalesce(2)
+    sinks.write_lines(sinks.cluster_list_lines(lists), str(tmp_path / "l"))
+    assert len(glob.glob(f"{tmp_path}/l/part-*")) == 2 and not glob.glob(f"{tmp_path}/l/part=*")
+
+
+def test_headered_ratings_and_no_tables_left(spark, tmp_path):
+    movies, seeds = tmp_path / "movies", tmp_path / "seeds.txt"
+    movies.mkdir()
+    for movie in range(6):
+        lines = [f"{user},{1 + user % 5},2003-0{1 + movie}-01" for user in range(movie, 12)]
+        (movies / f"mv_{movie}.txt").write_text("\n".join([f"{movie}:", *lines, "bad,line"]) + "\n")
+    (tmp_path / "titles.txt").write_text("".join(f"{m},1900,Old\n{m},{1960 + m},New {m}\n" for m in range(6)))
+    seeds.write_text("1960,2003\nnone\n1964,2003\n")
+    root = shared_root(spark)
+    before = set(glob.glob(f"{root}/cohortrec/*/*"))
+    out = str(tmp_path / "out")
+    jobs.run_files(spark, str(movies), str(tmp_path / "titles.txt"), str(seeds), out, k=2, headered=True)
+    assert set(glob.glob(f"{root}/cohortrec/*/*")) == before
+    ratings = spark.read.parquet(f"{out}/ratings").collect()
+    assert len(ratings) == 12 + 11 + 10 + 9 + 8 + 7
+    profiles = {r.user_id: r for r in spark.read.parquet(f"{out}/profiles").collect()}
+    assert {u: r.movies for u, r in profiles.items()} == {u: list(range(min(u, 5) + 1)) for u in range(12)}
+    assert profiles[0].avg_release_year == 1960.0
+    assert not glob.glob(f"{out}/all_recommendations")
+
+
+def test_latest_tables(spark):
+    ratings = spark.sql("select 1L rating_key, m movie_id, 7L user_id, 3 rating, d watch_date from values "
+                        "(5L, date'2004-01-01'), (6L, date'2005-01-01') as t(m, d)")
+    titles = spark.createDataFrame([(5, 1990, "b", 2), (5, 1999, "a", 1)], "movie_id long, release_year int, title string, version int")
+    latest, named = jobs.latest_tables(ratings, titles)
+    assert [r.movie_id for r in latest.collect()] == [6]
+    assert [tuple(r) for r in named.collect()] == [(5, 1990, "b")]

@@ -22,6 +22,31 @@ def test_ratings(spark, tmp_path):
     ]
 
 
+def test_bad_ratings_are_set_apart(spark, tmp_path):
+    path = write(tmp_path / "ratings.csv", "key,movie,user,rating,date\n0,7,11,x,2005-01-02\n1,,12,5,2004-02-03\n")
+    assert rows(text.read_ratings(spark, path)) == [(0, 7, 11, None, datetime.date(2005, 1, 2))]
+    assert text.rejected_ratings(spark, path).count() == 2
+
+
+def test_bad_tokens_are_left_out(spark):
+    lines = spark.createDataFrame([("3\t7,x,8",), ("no tab",), ("y\t1",)], "value string")
+    assert rows(text.parse_cluster_list(lines)) == [(3, 7), (3, 8)]
+    members = spark.createDataFrame([(1, "5,z,6")], "cluster_id int, members string")
+    assert rows(text.parse_member_list(members)) == [(1, 5), (1, 6)]
+    pairs = spark.createDataFrame([("1,5",), ("1",), ("a,b",)], "value string")
+    assert rows(text.parse_prediction_pairs(pairs)) == [(1, 5)]
+
+
+def test_later_titles_win(spark, tmp_path):
+    content = "".join(f"{i % 10},{1950 + i},T{i}\n" for i in range(300))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        found = rows(text.read_titles(spark, write(tmp_path / "titles.txt", content)))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == [(i, 2240 + i, f"T{290 + i}") for i in range(10)]
+
+
 def test_titles(spark, tmp_path):
     content = '7,NULL,Some Title\n8,1999,One, Two\n9,2001,"Quoted, ""Title"""\nno id,1990,x\n'
     assert rows(text.read_titles(spark, write(tmp_path / "titles.txt", content))) == [
@@ -33,8 +58,14 @@ def test_titles(spark, tmp_path):
 
 def test_test_users(spark, tmp_path):
     content = '1,2004.0,1990.0,"5,6"\n2,2004.0,1990.0\n1,2005.0,1991.0,"7"\n3,2003.0,1980.0,9\n4,2003.0,1980.0,9,8\n'
+    content += '"5",2000.0,"1999.0","1,2"\nx,2000.0,1999.0,1\n5#1,2000.0,1999.0,"3"\n'
     found = text.read_test_users(spark, write(tmp_path / "test_users.csv", content))
-    assert rows(found) == [(1, 2005.0, 1991.0, 0, "7"), (3, 2003.0, 1980.0, 0, "9")]
+    assert rows(found) == [
+        (1, 2005.0, 1991.0, 0, "7"),
+        (3, 2003.0, 1980.0, 0, "9"),
+        (5, 2000.0, 1999.0, 0, "1,2"),
+        (5, 2000.0, 1999.0, 1, "3"),
+    ]
 
 
 def test_test_users_last_line_wins_across_splits(spark, tmp_path):
@@ -90,6 +121,13 @@ def test_prediction_pairs(spark, tmp_path):
     assert rows(text.read_prediction_pairs(spark, write(tmp_path / "pairs.csv", "1,5\n2,6\n"))) == [(1, 5), (2, 6)]
 
 
+def test_cells_of_any_length(spark):
+    inner = 'say "x"\n, ' * 100_000
+    line = '"' + inner.replace('"', '""') + '",plain," open'
+    cells = sorted(r.cell for r in text.cells_to_rows(spark.createDataFrame([(line,)], "value string")).collect())
+    assert cells == sorted([inner.strip(" "), "plain", '" open'])
+
+
 def test_cells_and_first_field(spark):
     lines = spark.createDataFrame([('a, b ,,"c, d"',), ("e",), (" , ",)], "value string")
     assert rows(text.cells_to_rows(lines)) == [("a",), ("b",), ("c, d",), ("e",)]
