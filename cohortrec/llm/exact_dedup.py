@@ -74,4 +74,4 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows of ``docs`` that stay, with all their columns; rows without an id all stay."""
     # Dropped ids are fewer than kept ones, so the optimizer may find them small enough to broadcast.
     dropped = mark_copies(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("_dropped_id"))
-    return docs.join(dropped, docs[id_col] == F.col("_dropped_id"), "left_anti")
+    return docs.join(dropped, docs[id_col] == dropped["_dropped_id"], "left_anti")

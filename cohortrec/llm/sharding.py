@@ -62,9 +62,14 @@ def assign_shards(
 def write_shards(
     docs: DataFrame, path: str, weights: Sequence[float] = (1.0,) * 8, files_per_shard: int = 16, id_col: str = "doc_id"
 ) -> None:
-    """Write ``docs`` with all their columns below ``shard=N`` folders, ``files_per_shard`` files each."""
-    if "shard" in docs.columns:
-        raise ValueError("the table already has a column named shard")
-    placed = docs.withColumn("shard", rendezvous(F.col(id_col), weights))
-    file = F.pmod(F.xxhash64(F.col(id_col), F.lit("file")), F.lit(files_per_shard))
-    placed.repartition(len(weights) * files_per_shard, "shard", file).write.partitionBy("shard").parquet(path)
+    """Write ``docs`` with all their columns below ``shard=N`` folders, about ``files_per_shard`` files each.
+
+    A table that has a column ``shard`` gets folders with a longer name. Rows are dealt to files in
+    turn, so neither a large shard nor a repeated key meets in one task.
+    """
+    name = "shard"
+    while name in docs.columns:
+        name += "_"
+    placed = docs.withColumn(name, rendezvous(F.col(id_col), weights))
+    file = F.pmod(F.monotonically_increasing_id(), F.lit(files_per_shard))
+    placed.repartition(len(weights) * files_per_shard, name, file).write.partitionBy(name).parquet(path)

@@ -283,4 +283,4 @@ def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MA
     """
     groups = near_groups(docs, shingle, max_bits)
     dropped = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_dropped_id"))
-    return docs.join(dropped, docs["doc_id"] == F.col("_dropped_id"), "left_anti")
+    return docs.join(dropped, docs["doc_id"] == dropped["_dropped_id"], "left_anti")
