@@ -38,3 +38,17 @@ def test_release(spark):
     assert os.path.isdir(folder)
     tables.release_tables(spark)
     assert not os.path.exists(folder)
+
+
+def test_scope_deletes_its_own_tables_only(spark):
+    outer = tables.materialize(spark.range(3), "t")
+    with tables.scoped_tables(spark):
+        inner = tables.materialize(spark.range(4), "t")
+        with tables.scoped_tables(spark):
+            deepest = tables.materialize(spark.range(5), "t").inputFiles()[0].removeprefix("file://")
+            assert os.path.exists(deepest)
+        assert not os.path.exists(deepest)
+        folders = [df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0] for df in (outer, inner)]
+        assert all(map(os.path.isdir, folders))
+    assert [os.path.isdir(f) for f in folders] == [True, False]
+    assert outer.count() == 3
