@@ -4,8 +4,8 @@ The tokens of a page are its structural elements, told apart by their path, and
 pages of a host, tokens with one occurrence vector (how often each page holds them) form an
 equivalence class. Vectors are as long as the host has pages, so they are compared by a mergeable
 64-bit digest: Spark combines one partial row per token and batch, and a host with a third of all
-pages is as cheap as any other. Classes that most pages hold and that nest in classes already
-placed make up the host's template; its elements are the slots. Only this template, bounded by the
+pages is as cheap as any other. Classes that most pages hold, split where they do not nest in what
+is already placed, make up the host's template; its elements are the slots. Only this template, bounded by the
 mean page length, meets in one group. A page's blocks then fall into slots, and the article's slots remain.
 """
 
@@ -92,9 +92,10 @@ def host_tokens(pages: DataFrame) -> DataFrame:
 def deduce(tokens: list[dict]) -> tuple[list[int], list[int], list[int]]:
     """Slots of one host's template, the ones among them with varying article text, and template text.
 
-    ``tokens`` are the frequent tokens of the host. Element tokens of one vector are a class. A class is
-    valid when its tokens nest: each token's parent is the page, a token of the class or of a class
-    placed before. Classes are placed from the most frequent and largest on.
+    ``tokens`` are the frequent tokens of the host. Element tokens of one vector are a class. Classes are
+    placed from the most frequent and largest on. A token nests when its parent is the page or a token
+    placed before. A class of which only a part nests is split: that part is placed, and the others
+    wait as a class of their own for what they stand in.
     """
     classes: dict[int, list[dict]] = defaultdict(list)
     for token in sorted(tokens, key=lambda t: (t["place"] / t["pages"], t["path"])):
@@ -105,12 +106,16 @@ def deduce(tokens: list[dict]) -> tuple[list[int], list[int], list[int]]:
     placed = True
     while placed and waiting:
         placed = False
-        for members in list(waiting):
-            known = slots.keys() | {t["path"] for t in members} | {0}
-            if all(t["parent"] in known for t in members):
-                slots |= {t["path"]: t for t in members}
-                waiting.remove(members)
-                placed = True
+        for at, members in enumerate(waiting):
+            rest = []
+            for token in members:  # in page order, so a parent comes before what it holds
+                if token["parent"] == 0 or token["parent"] in slots:
+                    slots[token["path"]] = token
+                else:
+                    rest.append(token)
+            placed |= len(rest) < len(members)
+            waiting[at] = rest
+        waiting = [c for c in waiting if c]
     content = [p for p, t in slots.items() if not t["flags"] & BOILER and t["linked"] < LINKED * max(t["chars"], 1)]
     fixed = [
         t["text"]

@@ -72,3 +72,17 @@ def test_classes_share_vectors():
         tokens.append(dict(path=path, parent=parent, vector=vector, pages=pages, text=text, flags=0, place=path * pages, chars=10, linked=8 if path == 3 else 0))
     slots, content, fixed = ht.deduce(tokens)
     assert set(slots) == {1, 2, 3} and set(content) == {1, 2} and fixed == [99]  # 5 nests in nothing
+
+
+def extracted(spark, bodies, host="http://h.example.org/"):
+    rows = [(i, f"{host}{i}", body) for i, body in enumerate(bodies)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return [r.text for r in sorted(ht.extract_articles(pages).collect(), key=lambda r: r.page_id)]
+
+
+def test_heading_below_a_repeated_element(spark):
+    cols = "<div class=top><a href=/>Home</a></div><div class=col><h2>T{0}</h2><p>One {0}</p></div><div class=col><p>Two {0}</p><p>Call us now</p></div>"
+    rows = "<table><tr><td><h1>T{0}</h1></td><td>One {0}</td></tr><tr><td>Two {0}</td><td>Call us now</td></tr></table>"
+    for body in (cols, rows):
+        found = extracted(spark, [f"<html><body>{body.format(i)}</body></html>" for i in range(5)])
+        assert found == [f"T{i} One {i} Two {i}" for i in range(5)]
