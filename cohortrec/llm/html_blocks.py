@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 import xxhash
 
-BOILER, MAIN = 1, 2
+BOILER, MAIN, HEADING = 1, 2, 4
 
 # Element names by what they mean for a text.
 INLINE = frozenset(
@@ -17,6 +17,7 @@ VOID = frozenset("area base br col embed frame hr img input link meta param sour
 RAW = frozenset("script style title textarea noscript iframe noembed noframes template xmp svg math select object canvas".split())
 DROPPED = frozenset("nav footer aside form button dialog menu fieldset head".split())
 CONTAINERS = frozenset("article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NEVER_BOILER = frozenset("html body article main".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main "
@@ -59,7 +60,7 @@ def _look(name: str, attrs: str) -> tuple[str, int]:
     """The element's name with its class and id, digits masked, and its own flags."""
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attrs)} if attrs.strip(" /") else {}
     names = f"{found.get('id', '')} {found.get('class', '')}".lower()
-    flags = BOILER if name in DROPPED else MAIN if name in CONTAINERS else 0
+    flags = BOILER if name in DROPPED else MAIN if name in CONTAINERS else HEADING if name in HEADINGS else 0
     role = found.get("role", "").lower()
     if role == "main" or found.get("itemprop", "").lower() == "articlebody":
         flags |= MAIN

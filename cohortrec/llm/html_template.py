@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortrec.llm.html_blocks import BOILER, MAIN, Block, parse
+from cohortrec.llm.html_blocks import BOILER, HEADING, MAIN, Block, parse
 from cohortrec.llm.tokens import byte_slices
 from cohortrec.plans.materialize import materialize
 
@@ -38,6 +38,11 @@ def text_digest(text: str) -> int:
     return (xxhash.xxh64_intdigest(text) >> 1) or 1
 
 
+def text_key(block: Block) -> int:
+    """What tells the text of a block from others: inside main elements with its path, elsewhere without it."""
+    return text_digest(f"{block.path} {block.text}" if block.flags & MAIN else block.text)
+
+
 def page_tokens(page: str, page_key: str) -> list[tuple]:
     """``(path, text, parent, flags, vector, place, chars, linked)`` of one page, once per token."""
     blocks, elements = parse(page)
@@ -47,7 +52,7 @@ def page_tokens(page: str, page_key: str) -> list[tuple]:
     for block in blocks:
         chars[block.path] += len(block.text)
         linked[block.path] += min(block.link_chars, len(block.text))
-        texts.setdefault((block.path, text_digest(block.text)), [block.flags, 0])[1] += 1
+        texts.setdefault((block.path, text_key(block)), [block.flags, 0])[1] += 1
     vector = lambda count: xxhash.xxh64_intdigest(f"{page_key} {count}") >> 1
     rows = [
         (path, NO_TEXT, parent, flags, vector(count), float(place), chars[path], linked[path])
@@ -95,7 +100,8 @@ def deduce(tokens: list[dict]) -> tuple[list[int], list[int], list[int]]:
     ``tokens`` are the frequent tokens of the host. Element tokens of one vector are a class. Classes are
     placed from the most frequent and largest on. A token nests when its parent is the page or a token
     placed before. A class of which only a part nests is split: that part is placed, and the others
-    wait as a class of their own for what they stand in.
+    wait as a class of their own for what they stand in. A slot of mostly linked text is a menu; inside
+    main elements headings are none, and neither is what fewer than ``REPEATED`` pages show.
     """
     classes: dict[int, list[dict]] = defaultdict(list)
     for token in sorted(tokens, key=lambda t: (t["place"] / t["pages"], t["path"])):
@@ -116,12 +122,14 @@ def deduce(tokens: list[dict]) -> tuple[list[int], list[int], list[int]]:
             placed |= len(rest) < len(members)
             waiting[at] = rest
         waiting = [c for c in waiting if c]
-    content = [p for p, t in slots.items() if not t["flags"] & BOILER and t["linked"] < LINKED * max(t["chars"], 1)]
-    fixed = [
-        t["text"]
-        for t in tokens
-        if t["text"] != NO_TEXT and t["path"] in slots and t["pages"] >= REPEATED and not t["flags"] & MAIN
-    ]
+
+    def menu(slot: dict) -> bool:
+        if slot["flags"] & MAIN and (slot["flags"] & HEADING or slot["pages"] < REPEATED):
+            return False
+        return slot["linked"] >= LINKED * max(slot["chars"], 1)
+
+    content = [p for p, t in slots.items() if not t["flags"] & BOILER and not menu(t)]
+    fixed = [t["text"] for t in tokens if t["text"] != NO_TEXT and t["path"] in slots and t["pages"] >= REPEATED]
     return list(slots), content, fixed
 
 
@@ -146,9 +154,9 @@ def article_blocks(page: str, slots: set[int], content: set[int], fixed: set[int
     """The blocks of a page that fall into the article's slots.
 
     A block belongs to the nearest slot of the template above it. Blocks below boilerplate elements go.
-    If blocks stand in main elements, the article is what stands in main slots of the template, or all of
-    these blocks where the template's slots hold less than half of their text. Otherwise it is what stands in slots that are no menus and is not
-    template text; blocks outside of every slot count as article.
+    If blocks stand in main elements, the others go too. Of what is left, the article is what stands in
+    slots that are no menus and is not template text. Blocks outside of every slot count as article, and
+    inside main elements also those whose nearest slot lies outside of them.
     """
     blocks, elements = parse(page)
     slot_of: dict[int, int] = {0: 0}
@@ -167,11 +175,13 @@ def article_blocks(page: str, slots: set[int], content: set[int], fixed: set[int
 
     open_blocks = [b for b in blocks if not b.flags & BOILER]
     main = [b for b in open_blocks if b.flags & MAIN]
-    if main:
-        placed = [b for b in main if (s := slot(b.path)) and elements[s][1] & MAIN]
-        size = [sum(len(b.text) for b in some) for some in (placed, main)]
-        return placed if 2 * size[0] >= size[1] else main
-    return [b for b in open_blocks if (not slot(b.path) or slot(b.path) in content) and text_digest(b.text) not in fixed]
+
+    def article(block: Block) -> bool:
+        found = slot(block.path)
+        own = not found or block.flags & MAIN and not elements[found][1] & MAIN
+        return (own or found in content) and text_key(block) not in fixed
+
+    return [b for b in main or open_blocks if article(b)]
 
 
 def extract_articles(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

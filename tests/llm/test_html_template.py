@@ -86,3 +86,12 @@ def test_heading_below_a_repeated_element(spark):
     for body in (cols, rows):
         found = extracted(spark, [f"<html><body>{body.format(i)}</body></html>" for i in range(5)])
         assert found == [f"T{i} One {i} Two {i}" for i in range(5)]
+
+
+def test_template_inside_main_elements(spark):
+    notice = "<div class=box>Read our daily letter</div><ul class=more><li><a href=/{0}>Other {0}</a></li></ul>"
+    body = "<body><h1><a href=/>Site</a></h1><article><h2><a href=/{0}>T{0}</a></h2><p>One {0}</p>" + notice + "</article></body>"
+    assert extracted(spark, [body.format(i) for i in range(5)]) == [f"T{i} One {i}" for i in range(5)]
+    second = "<body><a href=/>Site</a><article><p>One and some more {0}</p></article>{1}</body>"
+    bodies = [second.format(i, "<article class=rare><p>Two 3</p></article>" if i == 3 else "") for i in range(5)]
+    assert extracted(spark, bodies) == [f"One and some more {i}" + " Two 3" * (i == 3) for i in range(5)]
