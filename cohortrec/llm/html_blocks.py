@@ -3,10 +3,11 @@
 import html
 import re
 from dataclasses import dataclass
+from itertools import takewhile
 
 import xxhash
 
-BOILER, MAIN, HEADING = 1, 2, 4
+BOILER, MAIN, HEADING, MARKED, STAYS = 1, 2, 4, 8, 16
 
 # Element names by what they mean for a text.
 INLINE = frozenset(
@@ -15,7 +16,7 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea noscript iframe noembed noframes template xmp svg math select object canvas".split())
-DROPPED = frozenset("nav footer aside form button dialog menu fieldset head".split())
+DROPPED = frozenset("nav footer aside button dialog menu fieldset head".split())
 CONTAINERS = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NEVER_BOILER = frozenset("html body article main".split())
@@ -33,7 +34,14 @@ BOILER_WORDS = frozenset(
     "respond replies reply disqus form newsletter subscribe subscription signup login share sharing social related breadcrumb "
     "breadcrumbs pagination pager popup modal overlay search skip".split()
 )
-NOT_A_WORD_OF_ITS_OWN = frozenset("has with no is without".split())
+# Words, and whole names, whose mark holds for an article below too: articles there are comments or teasers.
+STAYING_WORDS = frozenset(
+    "comment comments commentlist respond replies reply disqus related widget widgets ad ads advert adverts advertisement "
+    "advertising sponsor sponsored promo promotion".split()
+)
+STAYING_NAMES = frozenset("sidebar aside".split())
+NOT_A_WORD_OF_ITS_OWN = frozenset("has with no is without".split())  # nor is what follows it
+MOST = 0.5  # share of the page's text above which a marked wrapper is no boilerplate
 
 TAG = re.compile(
     r"""<!--(?:.*?--!?>|.*)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*"|'[^']*')*+)(?P<close>>|\Z)"""
@@ -60,17 +68,21 @@ def _look(name: str, attrs: str) -> tuple[str, int]:
     """The element's name with its class and id, digits masked, and its own flags."""
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attrs)} if attrs.strip(" /") else {}
     names = f"{found.get('id', '')} {found.get('class', '')}".lower()
-    flags = BOILER if name in DROPPED else MAIN if name in CONTAINERS else HEADING if name in HEADINGS else 0
+    flags = BOILER if name in DROPPED else MAIN if name in CONTAINERS else HEADING if name in HEADINGS else MARKED if name == "form" else 0
     role = found.get("role", "").lower()
     if role == "main" or found.get("itemprop", "").lower() == "articlebody":
         flags |= MAIN
-    if "hidden" in found or role in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog"):
+    if "hidden" in found or role in ("navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog"):
         flags |= BOILER
-    elif name not in ("html", "body", "main"):
+    elif role == "form":
+        flags |= MARKED
+    if name not in ("html", "body", "main"):
         for token in names.split():
-            words = re.split(r"[-_]+", token)
-            if words[0] not in NOT_A_WORD_OF_ITS_OWN and not BOILER_WORDS.isdisjoint(words):
-                flags |= BOILER
+            words = list(takewhile(lambda word: word not in NOT_A_WORD_OF_ITS_OWN, re.split(r"[-_]+", token)))
+            if not BOILER_WORDS.isdisjoint(words):
+                flags |= MARKED
+                if token in STAYING_NAMES or not STAYING_WORDS.isdisjoint(words):
+                    flags |= STAYS
     key = f"{name} {DIGITS.sub('0', names).strip()} {role}"
     return key, flags
 
@@ -82,10 +94,18 @@ def parse(page: str) -> tuple[list[Block], dict[int, tuple[int, int, int, int]]]
     Inline elements neither end a block nor appear in paths. Comments, scripts, styles and other
     elements without text are skipped; what is open at the end of the page is closed there. A
     ``header`` is the article's own inside an article and dropped elsewhere.
+
+    Elements such as ``nav`` and hidden ones are boilerplate with all below them. A form, a class, id or
+    role is a weaker mark: it does not pass to an article or main element below, unless its words
+    name comments, teasers or adverts, and it does not hold at all for a wrapper with more than ``MOST`` of the
+    text that stands outside of the former.
     """
     blocks: list[Block] = []
     elements: dict[int, tuple[int, int, int, int]] = {}
-    stack: list[tuple[str, int, int]] = [("", 0, 0)]  # name, path, flags with those above
+    stack: list[tuple[str, int, int, int]] = [("", 0, 0, 0)]  # name, path, flags with those above, nearest mark
+    marks: list[list[int]] = [[0, 0, 0]]  # mark above, flag that holds (MARKED, STAYS or none), characters
+    block_marks: list[int] = []
+    element_marks: dict[int, set[int]] = {}
     looks: dict[tuple[str, str], tuple[str, int]] = {}
     pieces: list[str] = []
     link_chars = links = 0
@@ -97,6 +117,7 @@ def parse(page: str) -> tuple[list[Block], dict[int, tuple[int, int, int, int]]]
             text = " ".join("".join(pieces).split())
             if text:
                 blocks.append(Block(text, stack[-1][1], stack[-1][2], link_chars))
+                block_marks.append(stack[-1][3])
             pieces.clear()
         link_chars = 0
 
@@ -152,13 +173,45 @@ def parse(page: str) -> tuple[list[Block], dict[int, tuple[int, int, int, int]]]
         look = looks.get((name, attrs))
         if look is None:
             look = looks[name, attrs] = _look(name, attrs)
-        _, above, inherited = stack[-1]
-        flags = inherited | look[1]
+        _, above, inherited, mark = stack[-1]
+        own = look[1] & (BOILER | MAIN | HEADING)
+        flags = inherited | own
         if name == "header" and not inherited & MAIN:
             flags |= BOILER
+        if mark and own & MAIN:
+            marks.append([mark, 0, 0])
+            mark = len(marks) - 1
+        if look[1] & MARKED:
+            marks.append([mark, look[1] & (MARKED | STAYS), 0])
+            mark = len(marks) - 1
         path = _path(above, look[0])
-        stack.append((name, path, flags))
+        stack.append((name, path, flags, mark))
         _, _, count, first = elements.get(path, (0, 0, 0, position))
         elements[path] = (above, flags, count + 1, first)
+        if mark:
+            element_marks.setdefault(path, set()).add(mark)
     flush()
+    if len(marks) > 1:
+        _hold_marks(blocks, block_marks, elements, element_marks, marks)
     return blocks, elements
+
+
+def _hold_marks(blocks: list[Block], block_marks: list[int], elements: dict, element_marks: dict, marks: list[list[int]]) -> None:
+    """Add ``BOILER`` to what stands below a mark that holds. Marks come after those above them."""
+    for block, mark in zip(blocks, block_marks):
+        marks[mark][2] += 0 if block.flags & BOILER else len(block.text)
+    for above, _, chars in reversed(marks[1:]):
+        marks[above][2] += chars
+    most = MOST * marks[0][2]
+    holding = [0]
+    for above, flag, chars in marks[1:]:
+        if not flag:  # an article or main element
+            holding.append(holding[above] & STAYS and MARKED | STAYS)
+        else:
+            holding.append(holding[above] | (flag if chars <= most else 0))
+    for block, mark in zip(blocks, block_marks):
+        block.flags |= BOILER if holding[mark] else 0
+    for path, those in element_marks.items():
+        if all(holding[mark] for mark in those):
+            above, flags, count, first = elements[path]
+            elements[path] = (above, flags | BOILER, count, first)

@@ -95,3 +95,16 @@ def test_template_inside_main_elements(spark):
     second = "<body><a href=/>Site</a><article><p>One and some more {0}</p></article>{1}</body>"
     bodies = [second.format(i, "<article class=rare><p>Two 3</p></article>" if i == 3 else "") for i in range(5)]
     assert extracted(spark, bodies) == [f"One and some more {i}" + " Two 3" * (i == 3) for i in range(5)]
+
+
+def test_marks_do_not_empty_a_page():
+    article = "<article><h1>T</h1><p>Body of it</p></article>"
+    assert text(f"<form><div class=menu>m</div>{article}<div id=sidebar>s</div></form>") == "T Body of it"
+    for name in ("page-with-sidebar", "layout-sidebar-right", "has-menu-x content-sidebar"):
+        assert text(f"<div class='{name}'>{article}<div class=sidebar>side</div></div>") == "T Body of it"
+        assert text(f"<div class='{name}'><p>Body of it</p><div class=widget>w</div></div><p>x</p>") == "Body of it x"
+        assert text(f"<p>{'long ' * 20}</p><div class='{name}'>{article}</div>") == "T Body of it"
+    assert text(f"{article}<section class=related-posts><article>other</article></section><div class=sidebar><article>side</article></div>") == "T Body of it"
+    assert text(f"<nav><form>{article}</form></nav><p>k</p>") == "k"
+    assert text("<article>the text<div class=comments><article>reply</article></div></article>") == "the text"
+    assert text("<article>the text<div class=newsletter>join</div></article>") == "the text"
