@@ -2,8 +2,8 @@
 
 The tokens of a page are its structural elements, told apart by their path, and its text blocks. Over all
 pages of a host, tokens with one occurrence vector (how often each page holds them) form an
-equivalence class. Vectors are as long as the host has pages, so they are compared by a mergeable
-64-bit digest: Spark combines one partial row per token and batch, and a host with a third of all
+equivalence class. Pages with one body are copies and count once. Vectors are as long as the host has pages, so they are compared by a mergeable
+64-bit digest: Spark combines one partial row per token and task, and a host with a third of all
 pages is as cheap as any other. Classes that most pages hold, split where they do not nest in what
 is already placed, make up the host's template; its elements are the slots. Only this template, bounded by the
 mean page length, meets in one group. A page's blocks then fall into slots, and the article's slots remain.
@@ -21,11 +21,11 @@ from cohortrec.llm.html_blocks import BOILER, HEADING, MAIN, Block, parse
 from cohortrec.llm.tokens import byte_slices
 from cohortrec.plans.materialize import materialize
 
-SUPPORT = 0.5  # share of a host's pages that a template token is on
-REPEATED = 3  # pages that a block of template text is on at least
+SUPPORT = 0.5  # share of a host's distinct pages that a template token is on
+REPEATED = 3  # distinct pages that a block of template text is on at least
 LINKED = 0.5  # share of linked characters from which a slot is a menu
-TOKENS = "host string, path long, text long, parent long, flags int, pages long, vector long, place double, chars long, linked long"
-NO_TEXT = 0
+TOKENS = "host string, path long, text long, body long, parent long, flags int, vector long, place double, chars long, linked long"
+NO_TEXT = ROOT = 0
 
 
 def host_of(url: Column) -> Column:
@@ -43,8 +43,12 @@ def text_key(block: Block) -> int:
     return text_digest(f"{block.path} {block.text}" if block.flags & MAIN else block.text)
 
 
-def page_tokens(page: str, page_key: str) -> list[tuple]:
-    """``(path, text, parent, flags, vector, place, chars, linked)`` of one page, once per token."""
+def page_tokens(page: str) -> list[tuple]:
+    """``(path, text, body, parent, flags, vector, place, chars, linked)`` of one page, once per token.
+
+    ``body`` is the digest of the page's texts, without boilerplate where it has others. The root
+    token with path 0 stands for the page itself.
+    """
     blocks, elements = parse(page)
     chars: dict[int, int] = defaultdict(int)
     linked: dict[int, int] = defaultdict(int)
@@ -53,40 +57,45 @@ def page_tokens(page: str, page_key: str) -> list[tuple]:
         chars[block.path] += len(block.text)
         linked[block.path] += min(block.link_chars, len(block.text))
         texts.setdefault((block.path, text_key(block)), [block.flags, 0])[1] += 1
-    vector = lambda count: xxhash.xxh64_intdigest(f"{page_key} {count}") >> 1
-    rows = [
-        (path, NO_TEXT, parent, flags, vector(count), float(place), chars[path], linked[path])
+    body = text_digest("\n".join(b.text for b in [b for b in blocks if not b.flags & BOILER] or blocks))
+    vector = lambda count: xxhash.xxh64_intdigest(f"{body} {count}") >> 1
+    rows = [(ROOT, NO_TEXT, body, ROOT, 0, 0, 0.0, 0, 0)]
+    rows += [
+        (path, NO_TEXT, body, parent, flags, vector(count), float(place), chars[path], linked[path])
         for path, (parent, flags, count, place) in elements.items()
     ]
-    rows += [(path, text, path, flags, vector(count), 0.0, 0, 0) for (path, text), (flags, count) in texts.items()]
+    rows += [(path, text, body, path, flags, vector(count), 0.0, 0, 0) for (path, text), (flags, count) in texts.items()]
     return rows
 
 
 def host_tokens(pages: DataFrame) -> DataFrame:
-    """One row per (host, token), from pages with ``host``, ``page_id`` and ``html``."""
+    """One row per (host, token), from pages with ``host`` and ``html``; ``pages`` counts distinct page bodies.
+
+    Copies of a page, repeated rows among them, count once: rows of one body meet first, and as they
+    differ in nothing that matters, the least of each value stands for them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in byte_slices(batch, "html"):
-                found: dict[tuple, list] = {}
-                for host, page_id, page in zip(*(rows[c].to_pylist() for c in ("host", "page_id", "html"))):
-                    for path, text, parent, flags, vector, place, chars, linked in page_tokens(page or "", str(page_id)):
-                        row = found.setdefault((host, path, text), [parent, flags, 0, 0, 0.0, 0, 0])
-                        row[2] += 1
-                        row[3] ^= vector
-                        row[4] += place
-                        row[5] += chars
-                        row[6] += linked
+                found: dict[tuple, tuple] = {}
+                for host, page in zip(*(rows[c].to_pylist() for c in ("host", "html"))):
+                    for path, text, body, *values in page_tokens(page or ""):
+                        key = (host, path, text, body)
+                        known = found.get(key)
+                        found[key] = tuple(values) if known is None else tuple(map(min, known, values))
                 columns = list(zip(*[(*key, *row) for key, row in found.items()])) or [()] * 10
-                types = [pa.string(), *[pa.int64()] * 3, pa.int32(), *[pa.int64()] * 2, pa.float64(), *[pa.int64()] * 2]
+                types = [pa.string(), *[pa.int64()] * 4, pa.int32(), pa.int64(), pa.float64(), *[pa.int64()] * 2]
                 names = [f.split()[0] for f in TOKENS.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
-    tokens = pages.select("host", "page_id", "html").mapInArrow(run, TOKENS)
+    tokens = pages.select("host", "html").mapInArrow(run, TOKENS)
+    values = ("parent", "flags", "vector", "place", "chars", "linked")
+    tokens = tokens.groupBy("host", "path", "text", "body").agg(*[F.min(c).alias(c) for c in values])
     return tokens.groupBy("host", "path", "text").agg(
         F.min("parent").alias("parent"),
         F.min("flags").alias("flags"),
-        F.sum("pages").alias("pages"),
+        F.count("*").alias("pages"),
         F.bit_xor("vector").alias("vector"),
         F.sum("place").alias("place"),
         F.sum("chars").alias("chars"),
@@ -137,8 +146,9 @@ def host_templates(pages: DataFrame) -> DataFrame:
     """``(host, slots, content, fixed)``, one row per host, as a written table."""
     tokens = host_tokens(pages)
     written = materialize(tokens.where(f"text = {NO_TEXT} OR pages >= {REPEATED}"), "tokens")
-    counts = pages.groupBy("host").agg(F.count("*").alias("host_pages"))
-    frequent = written.join(counts, "host").where(F.col("pages") >= SUPPORT * F.col("host_pages")).drop("host_pages")
+    counts = written.where(f"path = {ROOT}").select("host", F.col("pages").alias("host_pages"))
+    frequent = written.where(f"path <> {ROOT}").join(counts, "host").where(F.col("pages") >= SUPPORT * F.col("host_pages"))
+    frequent = frequent.drop("host_pages")
 
     def run(table: pa.Table) -> pa.Table:
         slots, content, fixed = deduce(table.to_pylist())

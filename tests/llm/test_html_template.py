@@ -108,3 +108,11 @@ def test_marks_do_not_empty_a_page():
     assert text(f"<nav><form>{article}</form></nav><p>k</p>") == "k"
     assert text("<article>the text<div class=comments><article>reply</article></div></article>") == "the text"
     assert text("<article>the text<div class=newsletter>join</div></article>") == "the text"
+
+
+def test_copies_of_a_page_count_once(spark):
+    frame = "<body><div class=top>About this site</div><div class=story><h2>T{0}</h2><p>One {0}</p></div></body>"
+    numbers = [0, 0, 0, 0, 0, 1, 2, 3]
+    bodies = [frame.format(n) for n in numbers]
+    assert extracted(spark, bodies) == [f"T{n} One {n}" for n in numbers]
+    assert extracted(spark, bodies, host="/relative/") == [f"T{n} One {n}" for n in numbers]
