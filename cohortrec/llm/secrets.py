@@ -50,7 +50,7 @@ def find_spans(text: str) -> list[tuple[str, int, int, float]]:
     """``(kind, start, end, log10_guesses)`` by start, then kind; ends exclusive, in code points.
 
     Base kinds hold whole matches, leftmost and without overlap within a kind. An added span is a
-    value that no base span overlaps. The cost is that of the value.
+    whole value that no base span covers; it may overlap one that ends early. The cost is that of the value.
     """
     found = []
     for m in ASSIGN.finditer(text):
@@ -61,12 +61,13 @@ def find_spans(text: str) -> list[tuple[str, int, int, float]]:
             found.append(("access", m.start(), m.end(), log10_guesses(m[0])))
     for m in HEX.finditer(text):
         found.append(("hex", m.start(), m.end(), log10_guesses(m[0])))
+    base = tuple(found)
     for m in CONTEXT.finditer(text):
-        start, end = m.span(2)
-        if all(end <= s or e <= start for _, s, e, _ in found):
-            value = m[2].rstrip(".:)]}")
-            if len(value) >= 8 and (cost := hard_to_guess(value)) is not None:
-                found.append(("guess", start, start + len(value), cost))
+        value, start = m[2].rstrip(".:)]}"), m.start(2)
+        end = start + len(value)
+        if len(value) >= 8 and not any(s <= start and end <= e for _, s, e, _ in base):
+            if (cost := hard_to_guess(value)) is not None:
+                found.append(("guess", start, end, cost))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 

@@ -91,3 +91,14 @@ def test_scan_and_redact(spark):
     assert after[0].text is None and after[2].text == texts[2] and after[4].text == "x" * 300_000 + " [SECRET]"
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert secrets.scan(empty).collect() == [] and secrets.redact(empty).collect() == []
+
+
+def test_value_longer_than_its_base_span():
+    for name in ("password", "passwd", "secret", "token", "api_key"):
+        text = f"{name}=Hunter2!Xk9#qLm2 end"
+        found = secrets.find_spans(text)
+        assert [(k, text[a:b]) for k, a, b, _ in found] == [("assign", f"{name}=Hunter2"), ("guess", "Hunter2!Xk9#qLm2")]
+        assert secrets.redacted(text, found) == "[SECRET] end"
+    text = f'token: "{HEX40}!Zq9" end'
+    assert secrets.redacted(text, secrets.find_spans(text)) == '[SECRET]" end'
+    assert [k for k, *_ in secrets.find_spans("password=Hunter2Xk9qLm2.")] == ["assign"]
