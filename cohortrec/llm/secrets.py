@@ -3,7 +3,9 @@
 Base kinds are ``assign``, ``access`` and ``hex``. The method adds ``guess``: values behind a wider set of
 credential words, whose cheapest segmentation into words, dates, repeats, keyboard walks and
 brute-force characters takes at least ``10 ** HARD`` guesses. A placeholder such as
-``changeme2024`` is cheap and stays. Base matches stay whatever they cost.
+``changeme2024`` is cheap and stays. Values of digits alone, or without a digit and both letter
+cases, are not costed, as the word list cannot tell random ones from prose. Base matches stay
+whatever they cost.
 """
 
 import re
@@ -38,7 +40,7 @@ HINT = r"(?i)AKIA[A-Z0-9]{16}|[0-9a-f]{24}|(?:pass|pwd|secret|token|key|credenti
 
 
 def hard_to_guess(value: str) -> float | None:
-    """The cost of a value with at least two kinds of characters, if it reaches ``HARD``."""
+    """The cost of a value with a digit or both letter cases and two kinds of characters, if it reaches ``HARD``."""
     kinds = (any(map(str.islower, value)), any(map(str.isupper, value)), any(map(str.isdigit, value)))
     if sum(kinds) + any(not c.isalnum() for c in value) < 2 or not (kinds[2] or kinds[0] and kinds[1]):
         return None
