@@ -71,7 +71,13 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; rows without an id all stay."""
+    """The rows of ``docs`` that stay, with all their columns; rows without an id all stay.
+
+    A row goes by its id and text together, so an id with two texts loses only the one that is a copy.
+    """
+    marks = mark_copies(docs, id_col, text_col)
     # Dropped ids are fewer than kept ones, so the optimizer may find them small enough to broadcast.
-    dropped = mark_copies(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("_dropped_id"))
-    return docs.join(dropped, docs[id_col] == dropped["_dropped_id"], "left_anti")
+    dropped = marks.where("not kept and doc_id is not null")
+    dropped = dropped.select(F.col("doc_id").alias("_dropped_id"), F.col("text_sha256").alias("_dropped_sha"))
+    sha = sha256_hex(normalised(docs[text_col]))
+    return docs.join(dropped, (docs[id_col] == dropped["_dropped_id"]) & (sha == dropped["_dropped_sha"]), "left_anti")

@@ -68,8 +68,11 @@ def majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp)`` with the fingerprint as a signed 64-bit number; NULL text counts as empty."""
+def fingerprints(
+    docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False
+) -> DataFrame:
+    """``(doc_id, fp)``, and ``text`` if asked for, with the fingerprint as a signed 64-bit number; NULL text counts as empty."""
+    kept = ["doc_id", "text"] if with_text else ["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,10 +81,10 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
                 sizes = np.fromiter(map(len, each), dtype=np.int64, count=len(each))
                 hashes = np.fromiter((h for hs in each for h in hs), dtype=np.uint64, count=int(sizes.sum()))
                 found = majority(hashes, sizes).view(np.int64)
-                yield pa.RecordBatch.from_arrays([rows["doc_id"], pa.array(found)], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([*(rows[c] for c in kept), pa.array(found)], [*kept, "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, f"doc_id long, {'text string, ' if with_text else ''}fp long")
 
 
 def fuzzy_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -279,8 +282,18 @@ def near_groups(
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One document of each group stays, the one with the smallest id, with all its columns.
 
-    Rows without an id all stay.
+    Rows without an id all stay. Of an id with texts in several groups, the texts stay of whose groups
+    it is the smallest id; only such ids are looked at text by text.
     """
-    groups = near_groups(docs, shingle, max_bits)
-    dropped = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_dropped_id"))
-    return docs.join(dropped, docs["doc_id"] == dropped["_dropped_id"], "left_anti")
+    near = near_groups(docs, shingle, max_bits).where("doc_id is not null")
+    goes = F.col("doc_id") != F.col("component_id")
+    ids = near.groupBy("doc_id").agg(F.max(goes).alias("some"), F.min(goes).alias("all"))
+    ids = materialize(ids.where("some").select(F.col("doc_id").alias("_dropped_id"), "all"), "dropped")
+    whole, mixed = ids.where("all").drop("all"), materialize(ids.where("not all").drop("all"), "mixed")
+    copies = near.where(goes).join(mixed, near["doc_id"] == mixed["_dropped_id"], "left_semi")
+    copies = copies.select(F.col("doc_id").alias("_id"), F.col("fingerprint").alias("_fp")).distinct()
+    texts = fingerprints(docs.join(mixed, docs["doc_id"] == mixed["_dropped_id"], "left_semi"), shingle, with_text=True)
+    texts = texts.distinct().join(copies, (F.col("doc_id") == F.col("_id")) & (F.lower(F.lpad(F.hex("fp"), 16, "0")) == F.col("_fp")))
+    texts = materialize(texts.select("_id", F.col("text").alias("_text")), "copies")
+    rest = docs.join(whole, docs["doc_id"] == whole["_dropped_id"], "left_anti")
+    return rest.join(texts, (rest["doc_id"] == texts["_id"]) & rest["text"].eqNullSafe(texts["_text"]), "left_anti")

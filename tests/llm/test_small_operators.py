@@ -125,3 +125,14 @@ def test_one_class_and_held_out_accuracy(spark):
     assert len(scored) > 60 and np.mean([r.predicted == r.quality for r in scored]) > 0.95
     for r in scored:
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+
+
+def test_an_id_with_two_texts_loses_only_the_copy(spark):
+    from cohortrec.llm import simhash
+
+    a, b = "one text of some words that is here", "something else entirely which nobody has twice"
+    rows = [(3, a), (5, a), (5, b), (5, b), (7, a), (None, a), (None, b), (8, None), (9, None), (9, "alone with its words in here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    wanted = sorted([(3, a), (5, b), (5, b), (None, a), (None, b), (8, None), rows[-1]], key=str)
+    assert sorted(map(tuple, exact_dedup.drop_copies(docs).collect()), key=str) == wanted
+    assert sorted(map(tuple, simhash.drop_near_copies(docs).collect()), key=str) == wanted
