@@ -3,11 +3,11 @@
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortrec.operators import kmeans, knn, membership, profile, recommend, similarity
-from cohortrec.operators.lists import joined
+from cohortrec.operators.lists import joined, list_start
 from cohortrec.plans import jobs, standin
 from cohortrec.plans.materialize import materialize, shared_root
 from cohortrec.sources import sinks, tables, text
@@ -93,8 +93,10 @@ def seed_centroids(spark, sf):
 @query("headered_ingest")
 def headered_ingest(spark, sf):
     """One headered text per movie, cut into splits of 10 lines each."""
-    place = Window.partitionBy("movie_id").orderBy("rating_key", "user_id", "rating", "watch_date")
-    rated = standin.ratings(spark, sf).withColumn("line", F.row_number().over(place).cast("long"))
+    order = ["rating_key", "user_id", "rating", "watch_date"]
+    counts = standin.ratings(spark, sf).groupBy("movie_id", *order).agg(F.count("*").alias("n"))
+    rated = list_start(counts, ["movie_id"], order)
+    rated = rated.withColumn("line", F.explode(F.expr("sequence(start + 1, start + n)")))
     header = standin.titles(spark, sf).select(
         F.col("movie_id").alias("file"),
         F.lit(0).cast("long").alias("seq"),

@@ -74,3 +74,10 @@ def test_entry(spark):
     rows = contract.entry(spark)
     assert rows.columns == ["user_id", "movie_id", "title", "rn"]
     assert rows.count() > 0
+
+
+def test_headered_lines_are_numbered_in_ranges(spark, written):
+    """No window over all ratings of a movie."""
+    df = QUERIES["headered_ingest"](spark, SF_DIR)
+    text = "\n".join([*written, df._jdf.queryExecution().analyzed().toString()])
+    assert "row_number" not in text and "_range" in text
