@@ -4,7 +4,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortrec.llm import embeddings, exact_dedup, html_template, packing, quality, secrets, sharding, simhash, suffix_pieces, token_files
+from cohortrec.llm import (
+    embeddings,
+    exact_dedup,
+    html_template,
+    packing,
+    periodic_runs,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    suffix_pieces,
+    token_files,
+)
 from cohortrec.llm.storage import new_path
 
 WORD_BPE = "word_bpe_49k.json"
@@ -82,6 +94,11 @@ def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(_table(spark, sf_dir, "documents"))
+    return periodic_runs.summarise_runs(periodic_runs.find_runs(docs))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_packing": op2_packing,
@@ -93,6 +110,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_quality": op9_quality,
     "op10_rendezvous_shards": op10_rendezvous_shards,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 SQL = {

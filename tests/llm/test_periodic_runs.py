@@ -1,0 +1,130 @@
+"""Periodic runs against a plain search of every period."""
+
+import hashlib
+import re
+import zlib
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from cohortrec.llm import periodic_runs as pr
+
+
+def plain_runs(words):
+    """(start, period, length) of every maximal stretch, by comparing all words a period apart."""
+    n, found = len(words), []
+    for q in range(1, n // 4 + 1):
+        t = 0
+        while t < n - q:
+            u = t
+            while u < n - q and words[u] == words[u + q]:
+                u += 1
+            length = u - t + q
+            if u > t and length >= max(6, 4 * q):
+                smaller = any(all(words[i] == words[i + p] for i in range(t, t + length - p)) for p in range(1, q))
+                if not smaller:
+                    found.append((t, q, length))
+            t = max(u, t + 1)
+    return sorted(found)
+
+
+def plain_row(doc_id, text, planted=True):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n = len(words)
+    if planted and doc_id is not None:
+        h = zlib.crc32(str(doc_id).encode())
+        g = h // 10
+        if h % 10 == 0 and n > 0:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = plain_runs(words)
+    dropped = {i for s, p, length in runs for i in range(s + p, s + length)}
+    best = (None,) * 4
+    if runs:
+        s, p, length = min(runs, key=lambda r: (-Fraction(r[2], r[1]), r[0], r[1]))
+        best = (s, length, p, 1000 * length // p)
+    lines = "".join(f"{s},{length},{p}\n" for s, p, length in runs)
+    kept = " ".join(w for i, w in enumerate(words) if i not in dropped)
+    return (doc_id, len(runs), *best, hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept.encode()).hexdigest())
+
+
+def solved(words, core):
+    """All tiles of one document, stitched as the shuffle does it."""
+    codes = np.array(words, dtype=np.int64)
+    found = []
+    for first, last, begin, end, core_begin, core_end in pr.cut_tiles(len(words), core):
+        tile = np.array([[0, begin, end - begin, core_begin, core_end]])
+        found += pr.solve(codes[begin:end], tile, np.array([len(words)]), first, last)[0]
+    joined = pr.join_touching(found)
+    return sorted((low, q, high - low + q) for q, low, high in joined if pr.long_enough(q, high - low))
+
+
+# Few different words, and blocks that repeat, with or without an error inside.
+BLOCKS = st.lists(
+    st.tuples(st.lists(st.integers(0, 2), min_size=1, max_size=9), st.integers(1, 9)), min_size=1, max_size=6
+).map(lambda blocks: [w for block, times in blocks for w in block * times])
+
+
+@settings(max_examples=400, deadline=None)
+@given(BLOCKS, st.sampled_from([12, 16, 40, 1 << 16]), st.lists(st.tuples(st.integers(0, 500), st.integers(0, 2)), max_size=3))
+def test_tiles_find_the_runs_of_a_plain_search(words, core, changes):
+    for place, word in changes:
+        words[place % len(words)] = word
+    expected = plain_runs(words)
+    assert solved(words, core) == expected
+    if len(words) <= core:
+        tile = np.array([[0, 0, len(words), 0, len(words)]])
+        top = (len(words) // 4).bit_length() - 1
+        found = pr.solve(np.array(words), tile, np.array([len(words)]), 0, top)[0]
+        assert sorted((low, q, high - low + q) for q, low, high in found) == expected
+
+
+def test_z_function():
+    for s in ([], [1], [1, 1, 1], [1, 2, 1, 2, 1], [1, 1, 2, 1, 1, 1]):
+        assert pr.z_function(s) == [
+            next((k for k in range(len(s) - i) if s[i + k] != s[k]), len(s) - i) for i in range(len(s))
+        ]
+
+
+def documents():
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(rng.choice(["a", "b", "cd", "ef"], size=rng.integers(0, 90)))) for i in range(120)]
+    rows += [(200 + i, ("x y z " * i).strip()) for i in range(8)]
+    rows += [(300, None), (301, ""), (302, " \t\n"), (303, "one"), (None, "k " * 9), (304, "\xa0 \xa0 " * 5), (304, "\xa0 \xa0 " * 5)]
+    rows += [(305, "w\n\n" * 700 + " ".join(map(str, range(40))) + " u v" * 300)]
+    return rows
+
+
+@pytest.mark.parametrize("tile_words", [16, 1 << 16])
+def test_documents(spark, tile_words):
+    rows = documents()
+    docs = spark.createDataFrame([(7, *r, "n") for r in rows], "row int, doc_id long, text string, words string").repartition(3)
+    found = pr.summarise_runs(pr.find_runs(pr.with_planted_runs(docs), tile_words)).collect()
+    key = lambda r: tuple((v is not None, v) for v in r)
+    assert sorted(map(tuple, found), key=key) == sorted((plain_row(*r) for r in rows), key=key)
+
+
+def test_planted_documents_have_runs():
+    assert sum(zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in documents() if i is not None) >= 5
+
+
+def test_collapse(spark):
+    rows = [(1, "a b a b a b a b end"), (1, None), (2, "no  runs here"), (None, "z z z z z z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {tuple(r) for r in pr.collapse_runs(docs).collect()}
+    assert found == {(1, "a b end", 6), (1, "", 0), (2, "no  runs here", 0), (None, "z", 5)}
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert pr.summarise_runs(pr.find_runs(docs)).collect() == []
+    assert pr.collapse_runs(docs).collect() == []
+
+
+def test_long_periodic_text():
+    words = [60_000] * 60_000 + list(range(20_000)) * 4
+    assert solved(words, 1 << 14) == [(0, 1, 60_000), (60_000, 20_000, 80_000)]
