@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from cohortrec.llm import (
     embeddings,
     exact_dedup,
+    hard_negatives,
     html_template,
     packing,
+    pareto_mix,
     periodic_runs,
     quality,
     secrets,
@@ -99,6 +101,17 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.summarise_runs(periodic_runs.find_runs(docs))
 
 
+def op12_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inside a source a document of sixteen times the bytes is expected half as many copies."""
+    docs = _table(spark, sf_dir, "documents")
+    doublings = F.floor(F.log2(F.octet_length(F.coalesce("text", F.lit(""))) + F.lit(1.0)))
+    return pareto_mix.mix_documents(docs.withColumn("weight", F.pow(F.lit(2.0), -doublings / 4)), weight_col="weight")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine_negatives(hard_negatives.with_shifted_labels(_table(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_packing": op2_packing,
@@ -111,6 +124,8 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_rendezvous_shards": op10_rendezvous_shards,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_pareto_mix": op12_pareto_mix,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 SQL = {
@@ -139,4 +154,25 @@ SQL = {
                doc_id = min(doc_id) OVER same AS kept, sha256(content) AS text_sha256
         FROM rows WINDOW same AS (PARTITION BY content)
     """,
+    "op13_hard_negatives": """
+        WITH able AS (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+          FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+          SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+                 CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+          FROM able a JOIN able b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+        positives AS (
+          SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+        negatives AS (
+          SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+                 CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INT) AS rank
+          FROM positives JOIN scored USING (anchor_id)
+          WHERE NOT same AND 100 * score BETWEEN 80 * positive_score AND 100 * positive_score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 5
+    """,
 }
