@@ -9,14 +9,18 @@ One rule holds for bad input everywhere: a row whose ids cannot be parsed is lef
 value that cannot be parsed is NULL.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortrec.functions import id_items
+from cohortrec.operators.asof import asof_join, mark_intervals
+from cohortrec.operators.lists import list_start
 from cohortrec.plans.materialize import materialize
 from cohortrec.sources.schemas import RATINGS
 
 PLACE = ["file", "split", "seq"]
+# Headers up to which the optimizer may broadcast them, some megabytes; beyond, they are hashed in a shuffle.
+MANY_HEADERS = 100_000
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -42,10 +46,40 @@ def read_ratings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def rejected_ratings(spark: SparkSession, path: str) -> DataFrame:
-    """The lines that ``read_ratings`` leaves out, for counting or keeping."""
+    """The lines that ``read_ratings`` leaves out, for keeping; to count them see ``parse_ratings``."""
     return _rating_lines(spark, path).where(f"not ({_RATING_IDS})")
 
 
+# Fixed name of the column that keeps a line of which some field could not be parsed.
+DAMAGED = "_damaged"
+
+
+def parse_ratings(lines: DataFrame) -> tuple[DataFrame, Observation]:
+    """The rows of ``read_ratings`` from a ``value`` column, and what the same pass counts on its way.
+
+    The observation is filled by the first action on the rows: ``lines`` read, ``kept``, ``rejected`` for want of an id, and
+    ``damaged`` ones with a field that could not be parsed, kept or not. Nothing is read twice for them.
+    """
+    options = {"dateFormat": "yyyy-MM-dd", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": DAMAGED}
+    ddl = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in RATINGS), f"{DAMAGED} string"])
+    rows = lines.select(F.from_csv("value", ddl, options).alias("_row")).select("_row.*")
+    counts = Observation("ratings")
+    kept = F.expr(_RATING_IDS)
+    observed = rows.observe(
+        counts,
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(kept).alias("kept"),
+        F.count_if(~kept).alias("rejected"),
+        F.count_if(F.col(DAMAGED).isNotNull()).alias("damaged"),
+    )
+    return observed.where(kept).drop(DAMAGED), counts
+
+
+def read_counted_ratings(spark: SparkSession, path: str) -> tuple[DataFrame, Observation]:
+    """``read_ratings`` with counts of what it leaves out."""
+    return parse_ratings(spark.read.text(path))
+
+
 def parse_titles(lines: DataFrame) -> DataFrame:
     """``movie_id,release_year,title``; commas inside the title belong to the title.
 
@@ -140,49 +174,65 @@ def read_seed_centroids(spark: SparkSession, path: str, k: int) -> DataFrame:
     return seeds
 
 
-def carry_header(lines: DataFrame) -> DataFrame:
-    """Give every data line the last ``movie_id:`` header above it in its file.
+def split_marks(lines: DataFrame) -> DataFrame:
+    """One row per split: ``first`` and ``last`` position, ``n`` lines, and the marks among them.
 
-    The header is carried inside each split by a window over that split, and from split to
-    split by a window over the file's splits, so a file of any size spreads over the cluster. The
-    running key counts the same way: inside a split, over the splits of a file, and over files.
+    Marks are the lines that are no data, headers and blank lines: ``struct(seq, header)`` with a NULL header for blank
+    ones. A split is bounded, and so is its list.
     """
-    is_header = F.col("value").contains(":")
-    split_key = ["file", "split"]
-    in_split = Window.partitionBy(*split_key).orderBy("seq")
-    in_file = Window.partitionBy("file").orderBy("split")
-    tagged = lines.select(
-        *PLACE,
-        "value",
-        is_header.alias("_is_header"),
-        F.when(is_header, F.replace("value", F.lit(":"), F.lit(""))).alias("_header"),
-    )
-    last_header = F.max_by("_header", F.when(F.col("_is_header"), F.col("seq")))
-    summary = tagged.groupBy(*split_key).agg(
-        last_header.alias("_last"), F.count_if(~F.col("_is_header")).alias("_n")
-    )
-    # Written, because it is used three times and the text should be read for it once.
-    summary = materialize(summary, "splits")
-    files = summary.groupBy("file").agg(F.sum("_n").alias("_file_n"))
-    # One row per file: the driver already holds this list to plan the scan.
-    files = files.select("file", (F.sum("_file_n").over(Window.orderBy("file")) - F.col("_file_n")).alias("_file_base"))
-    splits = summary.join(files, "file").select(
-        *split_key,
-        F.last("_last", ignorenulls=True).over(in_file.rowsBetween(Window.unboundedPreceding, -1)).alias("_above"),
-        (F.col("_file_base") + F.sum("_n").over(in_file) - F.col("_n")).alias("_key_base"),
+    value = F.col("value")
+    is_header = value.contains(":")
+    header = F.when(is_header, F.replace("value", F.lit(":"), F.lit("")))
+    mark = F.when(is_header | (value == ""), F.struct(F.col("seq"), header.alias("header")))
+    return lines.groupBy("file", "split").agg(
+        F.min("seq").alias("first"), F.max("seq").alias("last"), F.count("*").alias("n"), F.collect_list(mark).alias("marks")
     )
-    in_order = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        tagged.withColumn("_inside", F.last("_header", ignorenulls=True).over(in_order))
-        .withColumn("_nth", F.sum(F.when(F.col("_is_header"), 0).otherwise(1)).over(in_order))
-        .where(~F.col("_is_header"))
-        .join(splits, split_key)
-        .select(
-            (F.col("_key_base") + F.col("_nth") - 1).alias("rating_key"),
-            F.coalesce("_inside", "_above").alias("header"),
-            "value",
-        )
+
+
+def header_intervals(splits: DataFrame) -> DataFrame:
+    """From where to where in a split each header holds: ``(file, split, seq, _until, header, base)``.
+
+    ``base`` is what a data line adds to its position for its running key. The first interval of a split starts in front
+    of it and holds the last header above in the same file, found among one row per split. Keys run on
+    over all files: the data lines before a split are summed over ranges of splits.
+    """
+    in_file = Window.partitionBy("file").orderBy("split")
+    headers = F.filter(F.array_sort("marks"), lambda m: m["header"].isNotNull())
+    own = F.try_element_at(headers, F.lit(-1))["header"]
+    data = splits.withColumn("n", F.col("n") - F.size("marks"))
+    placed = list_start(data.select("file", "split", "n"), [], ["file", "split"]).drop("n")
+    above = F.last(own, ignorenulls=True).over(in_file.rowsBetween(Window.unboundedPreceding, -1))
+    carried = splits.withColumn("above", above).join(placed, ["file", "split"])
+    in_split = Window.partitionBy("file", "split").orderBy("seq")
+    opening = F.array(F.struct((F.col("first") - 1).alias("seq"), F.col("above").alias("header")))
+    marks = carried.select(
+        "file", "split", "last", (F.col("start") - F.col("first")).alias("_shift"), F.inline(F.concat(opening, "marks"))
     )
+    # The opening mark stands for no line, so the first line of a split has no mark before it.
+    before = F.count(F.lit(1)).over(in_split) - 1
+    marks = marks.withColumn("_header", F.last("header", ignorenulls=True).over(in_split)).withColumn("base", F.col("_shift") - before)
+    intervals = mark_intervals(marks, ["file", "split"], "seq", splits, "last")
+    return intervals.select("file", "split", "seq", "_until", F.col("_header").alias("header"), "base")
+
+
+def carry_header(lines: DataFrame) -> DataFrame:
+    """Give every data line the last ``movie_id:`` header above it in its file, and a running key.
+
+    ``(rating_key, header, value)``. Positions must count without gaps inside a split, as ``read_lines`` does. Headers are few, so
+    lines are joined as of the last one: their text is not sorted for it, and not shuffled while the
+    headers fit into a broadcast. A file of any size spreads over the cluster by its splits.
+    """
+    splits = materialize(split_marks(lines), "splits")
+    gaps = splits.where(F.col("last") - F.col("first") + 1 != F.col("n"))
+    if not gaps.isEmpty():
+        raise ValueError("the lines of a split must be numbered without gaps")
+    # Intervals per bucket are about as many as headers: rows are compared with few of them.
+    lines_n, marks_n = splits.agg(F.sum("n"), F.sum(F.size("marks"))).first()
+    bucket = min(max(2 * (lines_n or 0) // ((marks_n or 0) + 1), 16), 1 << 20)
+    intervals = materialize(header_intervals(splits), "headers")
+    data = lines.select(*PLACE, "value").where(~F.col("value").contains(":") & (F.col("value") != ""))
+    found = asof_join(data, intervals, ["file", "split"], "seq", bucket, hashed=(marks_n or 0) > MANY_HEADERS)
+    return found.select((F.col("seq") + F.col("base")).alias("rating_key"), "header", "value")
 
 
 def parse_headered(lines: DataFrame) -> DataFrame:
@@ -206,7 +256,7 @@ def parse_headered(lines: DataFrame) -> DataFrame:
 
 def read_headered(spark: SparkSession, path: str) -> DataFrame:
     """Any number of headers per file; blank lines are skipped."""
-    return parse_headered(read_lines(spark, path).where("value <> ''"))
+    return parse_headered(read_lines(spark, path))
 
 
 def parse_cluster_list(lines: DataFrame) -> DataFrame:
