@@ -1,6 +1,8 @@
 """User profiles: ratings joined with titles, one aggregate row and one movie list per user."""
 
-from pyspark.sql import Column, DataFrame
+import functools
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortrec.functions import centered, round_half_up
@@ -92,6 +94,32 @@ def lookup_profiles(profiles: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
+LOOKUP_KEYS = 500
+
+
+def write_lookup(profiles: DataFrame, path: str, parts: int | None = None, group_bytes: int = 16 << 20) -> None:
+    """Profiles for look-ups by key: sorted by user, in small row groups with a bloom filter over the user ids."""
+    spark = profiles.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = profiles.repartitionByRange(parts, "user_id", "part").sortWithinPartitions("user_id", "part")
+    writer = ordered.write.option("parquet.bloom.filter.enabled#user_id", "true").option("parquet.block.size", group_bytes)
+    writer.parquet(path)
+
+
+def lookup_stored(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """The rows of ``lookup_profiles`` from a table of ``write_lookup``, reading few row groups.
+
+    Up to ``LOOKUP_KEYS`` wanted users become comparisons that reach the scan, where statistics and bloom filters
+    skip row groups; more of them are joined, since they touch most row groups anyway.
+    """
+    stored = spark.read.parquet(path)
+    users = [r[0] for r in wanted.select("user_id").where("user_id is not null").distinct().limit(LOOKUP_KEYS + 1).collect()]
+    if len(users) > LOOKUP_KEYS:
+        return lookup_profiles(stored, wanted)
+    same = functools.reduce(Column.__or__, [F.col("user_id") == user for user in sorted(users)], F.lit(False))
+    return stored.where(same).select("user_id", "avg_rating", "avg_watch_year", "part", "movies")
+
+
 def holdout_users(profiles: DataFrame, limit: int = 500) -> DataFrame:
     """The first users in the order of their key as text, with all parts of their lists.
 
