@@ -10,6 +10,7 @@ from cohortrec.operators.kmeans import (
     FEATURES,
     Centroid,
     KMeansFit,
+    centroid_frame,
     centroid_rows,
     fit,
     weighted_cells,
@@ -26,8 +27,9 @@ from cohortrec.operators.recommend import (
     title_lists,
 )
 from cohortrec.plans.materialize import materialize, scoped_tables
+from cohortrec.plans.restart import StageRecord
 from cohortrec.sources import sinks
-from cohortrec.sources.tables import latest_rows, replace_table
+from cohortrec.sources.tables import latest_rows, read_table, replace_table
 from cohortrec.sources.text import (
     read_headered,
     read_ratings,
@@ -99,55 +101,65 @@ def run_files(
     k: int = CLUSTERS,
     headered: bool = False,
     list_all: bool = False,
+    resume: bool = False,
 ) -> None:
     """All stages from text inputs to tables and text outputs under ``out``.
 
     Without ``test_users_path`` the first 500 profiles are exported and used as test users. With
     ``headered`` the ratings are files of ``movie_id:`` lines and ``user,rating,date`` lines, and their rows
     are kept in ``out/ratings``. ``list_all`` also writes every unseen movie of every test user, which is as long as
-    test users times movies of their cluster. Tables between the stages are deleted at the end.
+    test users times movies of their cluster. Tables between the steps of a stage are deleted at the end.
+
+    Stages read the outputs of earlier ones from ``out`` and are recorded there when they are whole. ``resume`` goes on
+    after the last recorded stage of a run with the same arguments; inputs must not have changed in between.
     """
-    with scoped_tables(spark):
+    settings = {
+        "ratings": ratings_path, "titles": titles_path, "seeds": seeds_path, "test_users": test_users_path,
+        "k": k, "headered": headered, "list_all": list_all,
+    }
+    record = StageRecord(spark, out, settings, resume)
+
+    def table(name: str) -> DataFrame:
+        return read_table(spark, f"{out}/{name}")
+
+    def load() -> None:
+        replace_table(read_titles(spark, titles_path), f"{out}/titles")
         if headered:
             replace_table(read_headered(spark, ratings_path), f"{out}/ratings")
-            ratings = spark.read.parquet(f"{out}/ratings")
-        else:
-            ratings = read_ratings(spark, ratings_path)
-        _run(spark, ratings, titles_path, seeds_path, out, test_users_path, k, list_all)
 
+    def profile() -> None:
+        ratings = table("ratings") if headered else read_ratings(spark, ratings_path)
+        replace_table(build_profiles(ratings, table("titles")), f"{out}/unplaced_profiles")
+
+    def cluster() -> None:
+        seeds = centroid_rows(read_seed_centroids(spark, seeds_path, k))
+        cohorts = cluster_profiles(table("unplaced_profiles"), seeds)
+        replace_table(centroid_frame(spark, cohorts.model.centroids), f"{out}/centroids")
+        replace_table(cohorts.profiles, f"{out}/profiles")
+
+    def export() -> None:
+        profiles = table("profiles")
+        sinks.write_lines(sinks.profile_lines(profiles), f"{out}/profile_text")
+        replace_table(cluster_members(profiles), f"{out}/cluster_members")
+        sinks.write_lines(sinks.cluster_list_lines(cluster_movie_list(profiles)), f"{out}/cluster_movie_list")
+        replace_table(cluster_movies(profiles), f"{out}/cluster_movies")
+        if test_users_path is None:
+            sinks.write_lines(sinks.holdout_lines(holdout_users(profiles)), f"{out}/test_users")
+
+    def label() -> None:
+        tests = with_movie_arrays(read_test_users(spark, test_users_path or f"{out}/test_users"))
+        replace_table(classify(first_rows(table("profiles")), tests), f"{out}/knn_assignments")
+
+    def offer() -> None:
+        labelled, movies, titles = table("knn_assignments"), table("cluster_movies"), table("titles")
+        replace_table(recommend(labelled, movies, titles), f"{out}/recommended")
+        top = table("recommended")
+        sinks.write_lines(sinks.recommendation_lines(top), f"{out}/recommendations")
+        sinks.write_lines(sinks.title_list_lines(title_lists(top, titles)), f"{out}/title_lists")
+        if list_all:
+            everything = recommend(labelled, movies, titles, limit=None)
+            sinks.write_lines(sinks.recommendation_lines(everything), f"{out}/all_recommendations")
 
-def _run(
-    spark: SparkSession,
-    ratings: DataFrame,
-    titles_path: str,
-    seeds_path: str,
-    out: str,
-    test_users_path: str | None,
-    k: int,
-    list_all: bool,
-) -> None:
-    titles = materialize(read_titles(spark, titles_path), "titles")
-    seeds = centroid_rows(read_seed_centroids(spark, seeds_path, k))
-    cohorts = build_cohorts(ratings, titles, seeds)
-
-    sinks.write_lines(sinks.profile_lines(cohorts.profiles), f"{out}/profile_text")
-    replace_table(cohorts.profiles, f"{out}/profiles")
-    replace_table(cluster_members(cohorts.profiles), f"{out}/cluster_members")
-    movie_lists = cluster_movie_list(cohorts.profiles)
-    sinks.write_lines(sinks.cluster_list_lines(movie_lists), f"{out}/cluster_movie_list")
-
-    if test_users_path is None:
-        test_users_path = f"{out}/test_users"
-        sinks.write_lines(sinks.holdout_lines(holdout_users(cohorts.profiles)), test_users_path)
-    tests = with_movie_arrays(read_test_users(spark, test_users_path))
-    labelled = materialize(classify(first_rows(cohorts.profiles), tests), "knn_assignments")
-    replace_table(labelled, f"{out}/knn_assignments")
-
-    movies = materialize(cluster_movies(cohorts.profiles), "cluster_movies")
-    replace_table(movies, f"{out}/cluster_movies")
-    top = materialize(recommend(labelled, movies, titles), "recommendations")
-    sinks.write_lines(sinks.recommendation_lines(top), f"{out}/recommendations")
-    sinks.write_lines(sinks.title_list_lines(title_lists(top, titles)), f"{out}/title_lists")
-    if list_all:
-        everything = recommend(labelled, movies, titles, limit=None)
-        sinks.write_lines(sinks.recommendation_lines(everything), f"{out}/all_recommendations")
+    with scoped_tables(spark):
+        for stage in (load, profile, cluster, export, label, offer):
+            record.stage(stage.__name__, stage)
