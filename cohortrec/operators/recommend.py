@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortrec.operators.lists import LIST_PART_SIZE, cut_lists, joined, list_parts, list_start
 from cohortrec.operators.membership import CLUSTER_PART_SIZE
+from cohortrec.plans.materialize import materialize
 
 RECOMMENDATIONS = 10
 # Ranks per join bucket in the capped search, and per slice of a cluster in the uncapped one.
@@ -143,6 +144,36 @@ def unseen_summary(test_users: DataFrame, movies: DataFrame, watched: DataFrame)
     return counts.join(first, "user_id").join(last, "user_id")
 
 
+def movie_bitmaps(entries: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(keys, bucket, bits)``: distinct movies of each key as bitmaps of 32,768 ids, whatever the repeats."""
+    bucket = F.bitmap_bucket_number("movie_id").alias("bucket")
+    return entries.where("movie_id is not null").groupBy(*keys, bucket).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("movie_id")).alias("bits")
+    )
+
+
+def unseen_counts(test_users: DataFrame, clustered: DataFrame) -> DataFrame:
+    """``(user_id, n)``: number of unseen movies of the cluster per test user, from bitmaps.
+
+    What a cluster holds beyond a user's own movies is the size of both together less the user's. Only bitmaps of
+    buckets that a user touches are united; the others count by their cluster alone. So neither the
+    cluster's movies nor the result of an anti join are listed, and repeats need no removal before.
+    """
+    cluster = materialize(movie_bitmaps(_cluster_entries(clustered), ["cluster_id"]), "cluster_bitmaps")
+    cluster = cluster.withColumn("n", F.bitmap_count("bits"))
+    labels = _labels(test_users).where("cluster_id is not null")
+    own = movie_bitmaps(test_users.select("user_id", F.explode("movies").alias("movie_id")), ["user_id"])
+    own = own.withColumn("_own", F.bitmap_count("bits")).join(labels, "user_id")
+    touched = own.join(cluster.select("cluster_id", "bucket", F.col("bits").alias("_more"), "n"), ["cluster_id", "bucket"])
+    sides = touched.select("user_id", "bucket", F.explode(F.array("bits", "_more")).alias("side"))
+    both = sides.groupBy("user_id", "bucket").agg(F.bitmap_count(F.bitmap_or_agg("side")).alias("_both"))
+    seen = touched.select("user_id", "bucket", "n", "_own").join(both, ["user_id", "bucket"])
+    seen = seen.groupBy("user_id").agg(F.sum(F.col("n") + F.col("_own") - F.col("_both")).alias("_seen"))
+    sizes = cluster.groupBy("cluster_id").agg(F.sum("n").alias("_size"))
+    counts = labels.join(sizes, "cluster_id").join(seen, "user_id", "left")
+    return counts.select("user_id", (F.col("_size") - F.coalesce("_seen", F.lit(0))).alias("n")).where("n > 0")
+
+
 def title_lists(pairs: DataFrame, titles: DataFrame, part_size: int = LIST_PART_SIZE) -> DataFrame:
     """The titles of every user's movies, in movie order, joined by commas."""
     named = pairs.select("user_id", "movie_id").join(titles.select("movie_id", "title"), "movie_id")

@@ -3,6 +3,9 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortrec.operators.lists import list_start
+from cohortrec.plans.materialize import materialize
+
 
 def rating_vectors(ratings: DataFrame) -> DataFrame:
     """One mean rating per user and movie, so no coordinate of a vector repeats."""
@@ -39,3 +42,53 @@ def cosine_similarity(vectors: DataFrame, pairs: DataFrame) -> DataFrame:
         .join(right_norm, "right_id", "left")
         .select("left_id", "right_id", (F.coalesce("_dot", F.lit(0.0)) / length).alias("similarity"))
     )
+
+
+POSTING_BLOCK = 4096
+SLACK = 1e-9  # more than rounding takes from sums of squares; only lets more pairs through
+
+
+def indexed_entries(vectors: DataFrame, threshold: float) -> DataFrame:
+    """``(vec_id, movie_id)``: the entries by which any two vectors of at least this cosine meet.
+
+    Entries of every vector are ordered by how many vectors hold their movie, the most frequent first. As long as the
+    squares up to an entry stay below ``threshold**2`` times the squared norm, the entries so far cannot reach the
+    threshold with any other vector, so they are left out: frequent movies mostly. Of two similar vectors the one
+    with more left out could not reach the threshold by what it leaves out, so some movie is indexed in both.
+    Squares before an entry are summed over ranges of entries, so a very long vector meets in no task.
+    """
+    frequency = vectors.groupBy("movie_id").agg(F.count("*").alias("_vectors"))
+    norms = vectors.groupBy("vec_id").agg(F.sum(F.col("rating") * F.col("rating")).alias("_square"))
+    entries = vectors.join(frequency, "movie_id").withColumn("n", F.col("rating") * F.col("rating"))
+    placed = list_start(entries.select("vec_id", "movie_id", "_vectors", "n"), ["vec_id"], [F.desc("_vectors"), "movie_id"])
+    needed = F.lit(threshold * threshold * (1 - SLACK)) * F.col("_square")
+    return placed.join(norms, "vec_id").where(F.col("start") + F.col("n") >= needed).select("vec_id", "movie_id")
+
+
+def similar_candidates(vectors: DataFrame, threshold: float, block: int = POSTING_BLOCK) -> DataFrame:
+    """Distinct pairs ``(left_id, right_id)``, left below right, among which are all of at least ``threshold``.
+
+    The list of vectors that index a movie is cut into blocks of about ``block``, and pairs of blocks are join keys of their
+    own, so a movie that many vectors index is spread over the cluster.
+    """
+    indexed = materialize(indexed_entries(vectors, threshold), "indexed")
+    sizes = indexed.groupBy("movie_id").agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"))
+    dealt = indexed.join(sizes.where("_blocks > 1"), "movie_id", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+    dealt = dealt.withColumn("_block", F.pmod(F.xxhash64("vec_id"), F.col("_blocks")).cast("int"))
+    ahead = dealt.withColumn("_other", F.explode(F.expr("sequence(0, _blocks - 1)")))
+    left = ahead.select(F.col("vec_id").alias("left_id"), "movie_id", F.col("_block").alias("_a"), F.col("_other").alias("_b"))
+    right = ahead.select(F.col("vec_id").alias("right_id"), "movie_id", F.col("_other").alias("_a"), F.col("_block").alias("_b"))
+    return left.join(right, ["movie_id", "_a", "_b"]).where("left_id < right_id").select("left_id", "right_id").distinct()
+
+
+def similar_vectors(vectors: DataFrame, threshold: float, block: int = POSTING_BLOCK) -> DataFrame:
+    """``(left_id, right_id, similarity)`` of all pairs whose cosine, rounded to 9 digits, is at least ``threshold``.
+
+    Pairs are not given but found by an index of few entries per vector, and every candidate is compared in full. Zero and
+    NULL entries take no part. The threshold must be above 0.
+    """
+    if not 0 < threshold <= 1:
+        raise ValueError("the threshold must be above 0 and at most 1")
+    vectors = materialize(vectors.where("rating <> 0 and vec_id is not null and movie_id is not null"), "vectors")
+    pairs = materialize(similar_candidates(vectors, threshold, block), "candidates")
+    return cosine_similarity(vectors, pairs).where(F.round("similarity", 9) >= F.lit(threshold))

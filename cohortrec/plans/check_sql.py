@@ -337,4 +337,43 @@ SQL: dict[str, str] = {
         SELECT left_id, right_id, round(coalesce(dot, 0.0::DOUBLE) / nullif(length, 0.0::DOUBLE), 9) AS similarity
         FROM pairs LEFT JOIN dots USING (left_id, right_id)""",
     ),
+    "similar_users": _sql(
+        BASE,
+        """
+        , vectors AS (SELECT user_id, movie_id, sum(CAST(rating AS DOUBLE)) / count(rating) AS rating FROM ratings GROUP BY 1, 2),
+        norms AS (SELECT user_id, sqrt(sum(rating * rating)) AS norm FROM vectors GROUP BY 1),
+        dots AS (SELECT l.user_id AS left_id, r.user_id AS right_id, sum(l.rating * r.rating) AS dot
+                 FROM vectors l JOIN vectors r ON r.movie_id = l.movie_id AND l.user_id < r.user_id GROUP BY 1, 2)
+        SELECT left_id, right_id, round(dot / (a.norm * b.norm), 9) AS similarity
+        FROM dots JOIN norms a ON a.user_id = left_id JOIN norms b ON b.user_id = right_id
+        WHERE round(dot / (a.norm * b.norm), 9) >= 0.2""",
+    ),
+    "unseen_counts": _sql(CANDIDATES, "SELECT user_id, count(*) AS n FROM candidates GROUP BY user_id"),
+    "stored_lookup": _sql(
+        PROFILES,
+        """SELECT user_id, avg_rating, avg_watch_year, part, movies FROM profiles
+           WHERE user_id % 50 = 0 AND user_id IN (SELECT user_id FROM events)""",
+    ),
+    "upsert_keyed": _sql(
+        BASE,
+        f"""
+        , latest AS (
+          SELECT {_RATING_COLUMNS} FROM ratings
+          QUALIFY row_number() OVER (PARTITION BY rating_key
+            ORDER BY watch_date DESC, movie_id DESC, user_id DESC, rating DESC) = 1)
+        SELECT rating_key, movie_id, user_id, CAST(CASE WHEN user_id % 13 = 0 THEN 6 - rating ELSE rating END AS INT) AS rating,
+               watch_date FROM latest
+        UNION ALL
+        SELECT -rating_key, movie_id, user_id, rating, watch_date FROM latest WHERE user_id % 17 = 0""",
+    ),
+    "counted_ratings": _sql(
+        BASE,
+        """
+        SELECT user_id, count(*) AS n, CAST(count(*) FILTER (rating_key % 13 <> 0) AS BIGINT) AS dated,
+               (SELECT count(*) FROM ratings) AS lines,
+               (SELECT count(*) FROM ratings WHERE rating_key % 11 <> 0) AS kept,
+               (SELECT count(*) FROM ratings WHERE rating_key % 11 = 0) AS rejected,
+               (SELECT count(*) FROM ratings WHERE rating_key % 11 = 0 OR rating_key % 13 = 0) AS damaged
+        FROM ratings WHERE rating_key % 11 <> 0 GROUP BY user_id""",
+    ),
 }

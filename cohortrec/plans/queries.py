@@ -36,6 +36,10 @@ def _cohorts(spark: SparkSession, sf: str) -> jobs.Cohorts:
     return jobs.build_cohorts(standin.ratings(spark, sf), standin.titles(spark, sf), standin.SEEDS)
 
 
+def _new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_root(spark)}/cohortrec/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}/{name}"
+
+
 def _text_list(rows: DataFrame) -> DataFrame:
     return rows.withColumn("movies", joined(F.col("movies")))
 
@@ -168,13 +172,38 @@ def upsert_latest(spark, sf):
 @query("replace_table")
 def replace_table(spark, sf):
     """A table that is written, replaced by another snapshot, and read."""
-    path = f"{shared_root(spark)}/cohortrec/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}/titles"
+    path = _new_path(spark, "titles")
     titles = standin.titles(spark, sf)
     tables.replace_table(titles, path)
     tables.replace_table(titles.where("release_year > 1960"), path)
     return tables.read_table(spark, path, ["movie_id", "title"])
 
 
+@query("upsert_keyed")
+def upsert_keyed(spark, sf):
+    """A table in hash buckets; ratings of some users are turned around, those of others come again under new keys."""
+    path = _new_path(spark, "keyed")
+    version = ["watch_date", "movie_id", "user_id", "rating"]
+    tables.write_keyed(tables.latest_rows(standin.ratings(spark, sf), ["rating_key"], version), path, ["rating_key"], buckets=16)
+    stored = tables.read_keyed(spark, path)
+    changed = stored.where("user_id % 13 = 0").withColumn("rating", 6 - F.col("rating"))
+    added = stored.where("user_id % 17 = 0").withColumn("rating_key", -F.col("rating_key"))
+    tables.upsert_keyed(spark, path, changed.unionByName(added), ["rating_key"])
+    return tables.read_keyed(spark, path)
+
+
+@query("counted_ratings")
+def counted_ratings(spark, sf):
+    """Rating lines, some without a usable id and some with a broken date; the rows that stay, beside all counts."""
+    user = F.expr("CASE WHEN rating_key % 11 = 0 THEN 'x' ELSE CAST(user_id AS STRING) END")
+    date = F.expr("CASE WHEN rating_key % 13 = 0 THEN '2000-13-01' ELSE CAST(watch_date AS STRING) END")
+    lines = standin.ratings(spark, sf).select(F.concat_ws(",", "rating_key", "movie_id", user, "rating", date).alias("value"))
+    rows, counts = text.parse_ratings(lines)
+    rows = materialize(rows, "ratings")
+    totals = [F.lit(counts.get[name]).cast("long").alias(name) for name in ("lines", "kept", "rejected", "damaged")]
+    return rows.groupBy("user_id").agg(F.count("*").alias("n"), F.count("watch_date").alias("dated")).select("*", *totals)
+
+
 @query("profile_text")
 def profile_text(spark, sf):
     return sinks.profile_lines(_profiles(spark, sf)).select("line")
@@ -224,6 +253,15 @@ def profile_lookup(spark, sf):
     return _text_list(profile.lookup_profiles(_profiles(spark, sf), wanted))
 
 
+@query("stored_lookup")
+def stored_lookup(spark, sf):
+    """Some of the users of ``events`` looked up in profiles stored for it."""
+    path = _new_path(spark, "lookup")
+    profile.write_lookup(_profiles(spark, sf), path)
+    wanted = tables.read_table(spark, f"{sf}/events.parquet", ["user_id"]).where("user_id % 50 = 0").distinct()
+    return _text_list(profile.lookup_stored(spark, path, wanted))
+
+
 # --- joins and aggregations ------------------------------------------------------------------
 
 
@@ -361,6 +399,12 @@ def recommend_all(spark, sf):
     return recommend.unseen_summary(*_offer(spark, sf))
 
 
+@query("unseen_counts")
+def unseen_counts(spark, sf):
+    cohorts = _cohorts(spark, sf)
+    return recommend.unseen_counts(jobs.classified_holdout(cohorts), cohorts.profiles)
+
+
 @query("recommendation_text")
 def recommendation_text(spark, sf):
     return sinks.recommendation_lines(jobs.recommend_top(_cohorts(spark, sf), standin.titles(spark, sf)))
@@ -389,3 +433,10 @@ def cosine_similarity(spark, sf):
     following = users.select((F.col("left_id") - 1).alias("left_id"), F.col("left_id").alias("right_id"))
     found = similarity.cosine_similarity(vectors, users.join(following, "left_id"))
     return found.withColumn("similarity", F.round("similarity", 9))
+
+
+@query("similar_users")
+def similar_users(spark, sf):
+    """All pairs of customers whose ratings have a cosine of at least 0.2."""
+    found = similarity.similar_vectors(similarity.rating_vectors(standin.ratings(spark, sf)), 0.2)
+    return found.withColumn("similarity", F.round("similarity", 9))
