@@ -54,9 +54,12 @@ def cut_lists(
     out: str,
     part_size: int,
     value: str | None = None,
+    keep_empty: bool = True,
 ) -> DataFrame:
     """One row per (keys, part) with the ascending array ``out`` of that part's items.
 
+    Without ``keep_empty`` groups of nothing but NULL items are left out, which saves reading ``entries`` again for their keys.
+
     With ``value`` the array holds ``struct(item, value)``, ascending by both. Entries are counted
     before the shuffle, so neither a long list nor an item that is repeated very often meets in one task.
     """
@@ -79,6 +82,8 @@ def cut_lists(
     runs = pieces.repartition(*keys, "part").groupBy(*keys, "part")
     runs = runs.agg(F.sort_array(F.collect_list(F.struct(*fields, "_copies"))).alias("_runs"))
     lists = runs.select(*keys, "part", F.flatten(F.transform("_runs", repeated)).alias(out))
+    if not keep_empty:
+        return lists
 
     groups = marked(entries.select(*keys).distinct(), keys)
     whole = groups.join(lists, same_keys(lists, groups, keys), "left")

@@ -30,8 +30,8 @@ def cluster_movies(clustered: DataFrame) -> DataFrame:
 
 def cluster_movie_list(clustered: DataFrame, part_size: int = CLUSTER_PART_SIZE) -> DataFrame:
     """The ascending movie list of every cluster with repeats, ``part_size`` entries per row."""
-    parts = cut_lists(_cluster_entries(clustered), ["cluster_id"], "movie_id", "_ids", part_size)
-    return parts.select("cluster_id", "part", joined(F.col("_ids")).alias("movies")).where("movies <> ''")
+    parts = cut_lists(_cluster_entries(clustered), ["cluster_id"], "movie_id", "_ids", part_size, keep_empty=False)
+    return parts.select("cluster_id", "part", joined(F.col("_ids")).alias("movies"))
 
 
 def watched_movies(test_users: DataFrame) -> DataFrame:
@@ -144,6 +144,27 @@ def unseen_summary(test_users: DataFrame, movies: DataFrame, watched: DataFrame)
     return counts.join(first, "user_id").join(last, "user_id")
 
 
+def unseen_factors(test_users: DataFrame, movies: DataFrame, watched: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``unseen_movies`` without listing them: ``asked(user_id, cluster_id, n)`` and ``seen(user_id, cluster_id, movie_id)``.
+
+    The unseen movies of a user are those of ``movies`` for its cluster but for its rows in ``seen``; ``n`` is their number.
+    With ``movies`` itself the factors are as long as their inputs. ``expand_unseen`` lists them for the users that are wanted.
+    """
+    labels = _labels(test_users).where("cluster_id is not null")
+    sizes = movies.groupBy("cluster_id").agg(F.count("*").alias("_size"))
+    seen = watched.join(labels, "user_id").join(movies, ["cluster_id", "movie_id"]).select("user_id", "cluster_id", "movie_id")
+    gone = seen.groupBy("user_id").agg(F.count("*").alias("_seen"))
+    counts = labels.join(sizes, "cluster_id").join(gone, "user_id", "left")
+    left = F.col("_size") - F.coalesce("_seen", F.lit(0))
+    return counts.select("user_id", "cluster_id", left.alias("n")), seen
+
+
+def expand_unseen(asked: DataFrame, movies: DataFrame, seen: DataFrame) -> DataFrame:
+    """``(user_id, movie_id)`` of the users in ``asked``, as long as the sum of their ``n``."""
+    tests = asked.select("user_id", F.col("cluster_id").alias("membership"))
+    return unseen_movies(tests, movies, seen.select("user_id", "movie_id"))
+
+
 def movie_bitmaps(entries: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``(keys, bucket, bits)``: distinct movies of each key as bitmaps of 32,768 ids, whatever the repeats."""
     bucket = F.bitmap_bucket_number("movie_id").alias("bucket")

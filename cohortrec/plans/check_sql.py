@@ -376,4 +376,21 @@ SQL: dict[str, str] = {
                (SELECT count(*) FROM ratings WHERE rating_key % 11 = 0 OR rating_key % 13 = 0) AS damaged
         FROM ratings WHERE rating_key % 11 <> 0 GROUP BY user_id""",
     ),
+    "cohort_factors": _sql(
+        CLASSIFIED,
+        """SELECT 'asked' AS side, l.user_id, l.membership, count(*) AS n
+           FROM labels l JOIN membership m ON m.membership = l.membership GROUP BY ALL
+           UNION ALL SELECT 'member', user_id, membership, NULL FROM membership""",
+    ),
+    "unseen_factors": _sql(
+        CANDIDATES,
+        """SELECT 'asked' AS side, l.user_id, l.membership AS cluster_id, CAST(NULL AS BIGINT) AS movie_id,
+                  (SELECT count(*) FROM candidates c WHERE c.user_id = l.user_id) AS n FROM labels l
+           UNION ALL SELECT 'offered', NULL, cluster_id, movie_id, NULL FROM cluster_movies
+           UNION ALL SELECT 'seen', w.user_id, c.cluster_id, c.movie_id, NULL
+           FROM watched w JOIN labels l ON l.user_id = w.user_id
+           JOIN cluster_movies c ON c.cluster_id = l.membership AND c.movie_id = w.movie_id""",
+    ),
 }
+SQL["cohort_join_tables"] = SQL["cohort_join"]
+SQL["bucketed_profiles"] = SQL["user_profile"]

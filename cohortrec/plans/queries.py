@@ -10,7 +10,7 @@ from cohortrec.operators import kmeans, knn, membership, profile, recommend, sim
 from cohortrec.operators.lists import joined, list_start
 from cohortrec.plans import jobs, standin
 from cohortrec.plans.materialize import materialize, shared_root
-from cohortrec.sources import sinks, tables, text
+from cohortrec.sources import catalog, sinks, tables, text
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -425,6 +425,43 @@ def cohort_join(spark, sf):
     return membership.cohort_join(spark, "checked_")
 
 
+@query("cohort_factors")
+def cohort_factors(spark, sf):
+    """The cohort join as its factors: who asks, and who belongs where."""
+    cohorts = _cohorts(spark, sf)
+    asked, members = membership.cohort_factors(cohorts.profiles, jobs.classified_holdout(cohorts))
+    asked = asked.select(F.lit("asked").alias("side"), F.col("test_user_id").alias("user_id"), "membership", "n")
+    return asked.union(members.select(F.lit("member"), "user_id", "membership", F.lit(None).cast("long")))
+
+
+@query("cohort_join_tables")
+def cohort_join_tables(spark, sf):
+    """The cohort join over tables of the catalog."""
+    cohorts = _cohorts(spark, sf)
+    prefix = f"kept_{uuid.uuid4().hex}_"
+    catalog.save_cohorts(cohorts.profiles, jobs.classified_holdout(cohorts), _new_path(spark, "catalog"), prefix)
+    return membership.cohort_join(spark, prefix)
+
+
+@query("unseen_factors")
+def unseen_factors(spark, sf):
+    """The uncapped recommendation as its factors: who asks, what the clusters hold, and what is seen of it."""
+    tests, movies, watched = _offer(spark, sf)
+    asked, seen = recommend.unseen_factors(tests, materialize(movies, "movies"), watched)
+    none = F.lit(None).cast("long")
+    rows = asked.select(F.lit("asked").alias("side"), "user_id", "cluster_id", none.alias("movie_id"), "n")
+    rows = rows.union(movies.select(F.lit("offered"), none, "cluster_id", "movie_id", none))
+    return rows.union(seen.select(F.lit("seen"), "user_id", "cluster_id", "movie_id", none))
+
+
+@query("bucketed_profiles")
+def bucketed_profiles(spark, sf):
+    """Profiles from bucketed tables, whose join needs no exchange."""
+    prefix = f"kept_{uuid.uuid4().hex}_"
+    facts = catalog.save_facts(standin.ratings(spark, sf), standin.titles(spark, sf), _new_path(spark, "facts"), prefix, buckets=8)
+    return _text_list(profile.build_profiles(*facts))
+
+
 @query("cosine_similarity")
 def cosine_similarity(spark, sf):
     """Every customer against the next one by id."""

@@ -1,0 +1,88 @@
+"""Catalog tables by what a second session sees and what their joins need, and factorised results by expanding them."""
+
+import random
+import uuid
+
+from pyspark.sql import functions as F
+
+from cohortrec.operators import membership, profile, recommend
+from cohortrec.sources import catalog
+
+PROFILES = "user_id long, avg_rating double, avg_watch_year double, avg_release_year double, membership int, part long, movies array<long>"
+
+
+def cohorts(spark):
+    rng = random.Random(6)
+    people = [(u, 0.0, 1.0, 2.0, u % 3 if u % 8 else None, p, [rng.randrange(50) for _ in range(6)]) for u in range(60) for p in range(1 + u % 2)]
+    tests = [(500 + u, 0.0, 1.0, 2.0, u % 4 if u % 5 else None, p, [rng.randrange(60) for _ in range(u)]) for u in range(20) for p in range(1 + u % 2)]
+    return spark.createDataFrame(people, PROFILES), spark.createDataFrame(tests, PROFILES)
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_a_second_session_reads_the_tables(spark, tmp_path):
+    people, tests = cohorts(spark)
+    prefix = f"t_{uuid.uuid4().hex}_"
+    catalog.save_cohorts(people, tests, str(tmp_path / "one"), prefix)
+    other = spark.newSession()
+    assert [f"{c} {t}".replace("bigint", "long") for c, t in other.table(f"{prefix}profiles").dtypes] == catalog.PROFILES.split(", ")
+    joined = rows(membership.cohort_join(other, prefix))
+    asked, members = membership.cohort_factors(people, tests)
+    assert joined == rows(membership.expand_cohorts(asked, members)) and joined
+    about = {r.col_name: r.data_type for r in other.sql(f"DESCRIBE EXTENDED {prefix}profiles").collect()}
+    assert f"{people.count()} rows" in about["Statistics"]
+    column = {r.info_name: r.info_value for r in other.sql(f"DESCRIBE EXTENDED {prefix}profiles user_id").collect()}
+    assert (column["min"], column["max"]) == ("0", "59")
+    catalog.save_cohorts(people.where("user_id < 9"), tests, str(tmp_path / "two"), prefix)
+    other.catalog.refreshTable(f"{prefix}profiles")
+    assert other.table(f"{prefix}profiles").where("part = 0").count() == 9
+
+
+def test_bucketed_tables_join_without_an_exchange(spark, tmp_path):
+    ratings = spark.range(500).selectExpr("id rating_key", "id % 40 movie_id", "id % 7 user_id", "3 rating", "date'2004-01-01' watch_date")
+    titles = spark.range(45).selectExpr("id movie_id", "1990 release_year", "'t' title")
+    prefix = f"t_{uuid.uuid4().hex}_"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = profile.rated_titles(ratings, titles)
+        kept = profile.rated_titles(*catalog.save_facts(ratings, titles, str(tmp_path), prefix, buckets=4))
+        assert "Exchange" in plain._jdf.queryExecution().executedPlan().toString()
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert rows(kept) == rows(plain)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_factors_are_short_and_expand_to_all_rows(spark):
+    people, tests = cohorts(spark)
+    asked, members = membership.cohort_factors(people, tests)
+    assert asked.count() + members.count() <= people.count() + tests.count()
+    pairs = membership.expand_cohorts(asked, members)
+    counts = {r.test_user_id: r.n for r in asked.collect()}
+    assert {r.test_user_id: r["count"] for r in pairs.groupBy("test_user_id").count().collect()} == counts
+
+    movies = recommend.cluster_movies(people)
+    watched = recommend.watched_movies(tests)
+    listed = recommend.unseen_movies(tests, movies, watched)
+    asked, seen = recommend.unseen_factors(tests, movies, watched)
+    assert rows(recommend.expand_unseen(asked, movies, seen)) == rows(listed)
+    counts = {r.user_id: r.n for r in asked.where("n > 0").collect()}
+    assert {r.user_id: r["count"] for r in listed.groupBy("user_id").count().collect()} == counts
+    some = asked.where("user_id % 2 = 0")
+    assert rows(recommend.expand_unseen(some, movies, seen)) == rows(listed.where("user_id % 2 = 0"))
+
+
+def test_cluster_lists_read_their_entries_once(spark, tmp_path):
+    people, _ = cohorts(spark)
+    people.write.parquet(str(tmp_path / "people"))
+    stored = spark.read.parquet(str(tmp_path / "people"))
+    assert stored.where(F.col("membership").isNull()).count()
+    read = recommend.cluster_movie_list(stored).inputFiles()
+    assert read and not any(str(tmp_path) in file for file in read)  # only written ranges are read by then
+    found = recommend.cluster_movie_list(stored, part_size=5).collect()
+    entries = sorted((r.cluster_id, int(m)) for r in found for m in r.movies.split(","))
+    expected = people.where("membership is not null").select("membership", F.explode("movies")).collect()
+    assert entries == sorted(map(tuple, expected))
