@@ -7,20 +7,39 @@ first, and how many bins are filled this way.
 The search takes the largest remaining item and branches over the undominated fillings of the space
 beside it, most filled first. A branch is cut when the space wasted so far would leave no solution
 better than the incumbent, or when a lower bound on the rest says so. The first incumbent is
-best-fit decreasing, and every better solution replaces it. The search stops at the lower bound or
-after ``NODES`` branches; the incumbent is a whole solution at any time.
+best-fit decreasing, and every better solution replaces it. The search stops at the lower bound, when it has
+tried everything, or at the end of its ``Effort``; the incumbent is a whole solution at any time. An effort without
+limits makes the search exhaustive and its result a proven optimum.
 """
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 
 Pattern = tuple[int, ...]
-NODES = 12_000
-# Effort per branch: fillings that are kept, partial fillings that are looked at, and the longest
-# filling that is tested for being dominated.
-FILLINGS, STEPS, TESTED = 12, 400, 6
+
+
+@dataclass(frozen=True)
+class Effort:
+    """Limits of the search; None is no limit.
+
+    ``nodes`` branches in all; per branch ``fillings`` that are kept, partial fillings that are looked at (``steps``),
+    and items of the longest filling that is ``tested`` for being dominated (an untested one is kept).
+    """
+
+    nodes: int | None = 12_000
+    fillings: int | None = 12
+    steps: int | None = 400
+    tested: int | None = 6
+
+
+EXHAUSTIVE = Effort(None, None, None, None)
+
+
+def _spent(used: int, limit: int | None) -> bool:
+    return limit is not None and used >= limit
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> Counter:
@@ -123,7 +142,7 @@ def fullest(counts: np.ndarray, descending: list[int], space: int) -> Pattern:
     return tuple(items)
 
 
-def fillings(counts: np.ndarray, space: int, allowed: int) -> list[Pattern]:
+def fillings(counts: np.ndarray, space: int, allowed: int, effort: Effort = Effort()) -> list[Pattern]:
     """Undominated sets of items for ``space`` that waste at most ``allowed``, most filled first."""
     found: list[tuple[int, Pattern]] = []
     steps = 0
@@ -152,7 +171,7 @@ def fillings(counts: np.ndarray, space: int, allowed: int) -> list[Pattern]:
             length = descending[i]
             most = min(room // length, int(counts[length])) if length <= room else 0
             for copies in range(most, 0, -1):
-                if steps > STEPS or len(found) >= 2 * FILLINGS:
+                if _spent(steps - 1, effort.steps) or (effort.fillings is not None and len(found) >= 2 * effort.fillings):
                     return
                 any_fits = True
                 grow((*items, *(length,) * copies), room - length * copies, i + 1)
@@ -166,7 +185,7 @@ def fillings(counts: np.ndarray, space: int, allowed: int) -> list[Pattern]:
     long = there[np.searchsorted(there, -(-space // 2)) :]
     long = long[long < space]
     supply = np.minimum(counts[long], counts[space - long] - (2 * long == space))
-    for i in np.argsort(-supply, kind="stable")[:FILLINGS].tolist():
+    for i in np.argsort(-supply, kind="stable")[: effort.fillings].tolist():
         if supply[i] > 0:
             found.append((0, (int(long[i]), int(space - long[i]))))
     grow((), space, 0)
@@ -179,14 +198,15 @@ def fillings(counts: np.ndarray, space: int, allowed: int) -> list[Pattern]:
 
     chosen: list[Pattern] = []
     for _, items in sorted(set(found), key=lambda f: (f[0], len(f[1]), -supply_of(f[1]))):
-        if len(items) > TESTED or not any(dominates(other, items) for other in chosen):
+        untested = effort.tested is not None and len(items) > effort.tested
+        if untested or not any(dominates(other, items) for other in chosen):
             chosen.append(items)
-            if len(chosen) == FILLINGS:
+            if _spent(len(chosen), effort.fillings):
                 break
     return chosen
 
 
-def pack(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[tuple[Pattern, int]]:
+def pack(counts: dict[int, int], capacity: int, effort: Effort = Effort()) -> list[tuple[Pattern, int]]:
     """As few bins as found for ``counts`` (length: items); lengths are 1 to ``capacity``."""
     counts = {int(k): int(v) for k, v in counts.items() if v}
     if not counts:
@@ -207,7 +227,7 @@ def pack(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[tupl
         """The ways to fill the bin of the largest item that is left."""
         largest = int(np.flatnonzero(left)[-1])
         left[largest] -= 1
-        ways = fillings(left, capacity - largest, (best - 1) * capacity - total - wasted)
+        ways = fillings(left, capacity - largest, (best - 1) * capacity - total - wasted, effort)
         left[largest] += 1
         for items in ways:
             pattern = (largest, *items)
@@ -225,7 +245,7 @@ def pack(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[tupl
 
     path: list[tuple[Pattern, int]] = []
     stack = [branches()]
-    while stack and best > bound and spent < nodes:
+    while stack and best > bound and not _spent(spent, effort.nodes):
         move = next(stack[-1], None)
         if move is None:
             stack.pop()

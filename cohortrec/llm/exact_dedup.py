@@ -70,14 +70,41 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; rows without an id all stay.
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", single: bool = False) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns.
 
-    A row goes by its id and text together, so an id with two texts loses only the one that is a copy.
+    A row goes by its id and text together, so an id with two texts loses only the one that is a copy. NULL text equals
+    empty text; an empty table gives no rows. Rows without an id all stay, and so do repeated rows of the id that stays; with
+    ``single`` exactly one row of each group stays, the least by id, text and its other columns.
     """
     marks = mark_copies(docs, id_col, text_col)
+    sha = sha256_hex(normalised(docs[text_col]))
+    if single:
+        return _one_of_each(docs, materialize(marks.select("doc_id", "kept", "text_sha256"), "marks"), id_col, text_col)
     # Dropped ids are fewer than kept ones, so the optimizer may find them small enough to broadcast.
     dropped = marks.where("not kept and doc_id is not null")
     dropped = dropped.select(F.col("doc_id").alias("_dropped_id"), F.col("text_sha256").alias("_dropped_sha"))
-    sha = sha256_hex(normalised(docs[text_col]))
     return docs.join(dropped, (docs[id_col] == dropped["_dropped_id"]) & (sha == dropped["_dropped_sha"]), "left_anti")
+
+
+def one_row(rows: DataFrame, group: str, text_col: str, columns: list[str]) -> DataFrame:
+    """``columns`` of one row per ``group``: the least by text, then by all columns as JSON; combined before the shuffle."""
+    order = F.struct(F.col(text_col), F.to_json(F.struct(*columns)))
+    chosen = rows.groupBy(group).agg(F.min_by(F.struct(*columns), order).alias("_row"))
+    return chosen.select(*[F.col("_row")[c].alias(c) for c in columns])
+
+
+def _one_of_each(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    kept, sha = marks.where("kept"), F.col("text_sha256").alias("_gone_sha")
+    repeated = kept.groupBy("text_sha256").agg(F.count("*").alias("_n")).where("_n > 1")
+    # Few rows as a rule: equal texts under one id, or without any. One of each comes back below.
+    repeated = materialize(repeated.select(F.col("text_sha256").alias("_sha_of")), "repeated")
+    several = kept.join(repeated, F.col("text_sha256") == F.col("_sha_of"), "left_semi")
+    gone = marks.where("not kept").union(several).select(F.col("doc_id").alias("_gone_id"), sha).distinct()
+    hashed = docs.withColumn("_sha", sha256_hex(normalised(F.col(text_col))))
+    stay = hashed.join(gone, hashed[id_col].eqNullSafe(gone["_gone_id"]) & (hashed["_sha"] == gone["_gone_sha"]), "left_anti")
+    if repeated.isEmpty():
+        return stay.drop("_sha")
+    least = several.groupBy("text_sha256").agg(F.first("doc_id").alias("_least"))  # all of a group have one id
+    again = hashed.join(least, (hashed["_sha"] == least["text_sha256"]) & hashed[id_col].eqNullSafe(least["_least"]))
+    return stay.drop("_sha").unionByName(one_row(again, "_sha", text_col, docs.columns))

@@ -15,9 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortrec.llm.bin_completion import pack
+from cohortrec.llm.bin_completion import Effort, pack
 from cohortrec.llm.ranks import gapless_rank
-from cohortrec.llm.tokens import END_ID, byte_slices, encoder
+from cohortrec.llm.tokens import END_ID, BatchEncoder, byte_slices, encoding
 from cohortrec.plans.materialize import materialize
 
 CAPACITY = 4096
@@ -35,14 +35,18 @@ def cut_pieces(
 ) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32)``, with ``ids`` (little-endian unsigned 32-bit) on request.
 
-    Only documents longer than the capacity are cut. NULL text is empty and has its end id only.
+    Only documents longer than the capacity are cut. NULL and empty texts have their end id only. Repeated rows are cut
+    each on its own, a NULL id stays, an empty table gives no rows, other columns are not read.
     """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, end_id).encode
+        with encoding(tokenizer, end_id) as encoder:
+            yield from cut(batches, encoder)
+
+    def cut(batches: Iterator[pa.RecordBatch], encoder: BatchEncoder) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in byte_slices(batch, "text"):
-                ids, begins = encode(rows["text"])
+                ids, begins = encoder.encode(rows["text"])
                 n = np.diff(begins)
                 per_doc = -(-n // capacity)
                 row = np.repeat(np.arange(len(n)), per_doc)
@@ -69,38 +73,54 @@ def cut_pieces(
     return rows.mapInArrow(pieces, PIECES + ", ids binary" * with_ids)
 
 
-def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:
+RANK_BUCKETS = 64
+
+
+def pack_pieces(
+    pieces: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = ("doc_id", "piece"), effort: Effort = Effort()
+) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to a table with a ``length`` of 1 to ``capacity`` per row.
 
     Sequences are numbered from 0; places in a sequence follow each other without gaps, longest
-    piece first. ``order`` only decides which of equally long pieces comes first.
+    piece first. ``order`` only decides which of equally long pieces comes first. All columns of ``pieces`` come back
+    as they are, but for columns named like the two new ones, which are refused. Repeated rows are packed each on its
+    own; an empty table gives no rows.
     """
-    written = materialize(pieces.withColumn("part", F.spark_partition_id()), "pieces")
+    if clash := {"sequence_id", "offset"} & set(pieces.columns):
+        raise ValueError(f"rename {', '.join(sorted(clash))} first")
+    written = materialize(pieces.withColumn("_part", F.spark_partition_id()), "pieces")
     # At most ``capacity`` rows.
     counts = {r["length"]: r["n"] for r in written.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    # The ranks of a length are cut into buckets, so that a piece of a frequent length meets few of its ranges.
+    width = {length: -(-n // RANK_BUCKETS) for length, n in counts.items()}
     ranges, first_sequence, used = [], 0, dict.fromkeys(counts, 0)
-    for pattern, copies in pack(counts, capacity):
+    for pattern, copies in pack(counts, capacity, effort):
         offset = 0
         for length in pattern:
-            rank = used[length]
-            ranges.append((length, rank, rank + copies, first_sequence - rank, offset))
-            used[length] += copies
+            low, high = used[length], used[length] + copies
+            for bucket in range(low // width[length], (high - 1) // width[length] + 1):
+                ranges.append((length, bucket, low, high, first_sequence - low, offset))
+            used[length] = high
             offset += length
         first_sequence += copies
-    schema = "length long, low long, high long, shift long, offset long"
-    places = pieces.sparkSession.createDataFrame(ranges, schema)
-    ranked = gapless_rank(written, ["length"], "part", order, "rank")
-    # The ranges are as many as the different patterns hold items, which the capacity bounds.
-    inside = (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
-    same = ranked["length"] == places["length"]
+    spark = pieces.sparkSession
+    places = spark.createDataFrame(ranges, "_of long, _in long, _low long, _high long, _shift long, offset long")
+    widths = spark.createDataFrame(list(width.items()), "_length long, _width long")
+    ranked = gapless_rank(written, ["length"], "_part", order, "_rank")
+    # Both sides are bounded by the capacity and the buckets: ranges are as many as the different patterns hold items.
+    ranked = ranked.join(F.broadcast(widths), F.col("length") == F.col("_length"))
+    inside = (F.col("_rank") >= F.col("_low")) & (F.col("_rank") < F.col("_high"))
+    same = (F.col("length") == F.col("_of")) & (F.expr("_rank div _width") == F.col("_in"))
     return ranked.join(F.broadcast(places), same & inside).select(
-        *[ranked[c] for c in pieces.columns], (F.col("rank") + F.col("shift")).alias("sequence_id"), "offset"
+        *pieces.columns, (F.col("_rank") + F.col("_shift")).alias("sequence_id"), "offset"
     )
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, **columns) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, effort: Effort = Effort(), **columns
+) -> DataFrame:
     """One row per piece: ``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)``.
 
     An empty table gives no rows. Repeated rows are packed as often as they occur, each on its own.
     """
-    return pack_pieces(cut_pieces(docs, tokenizer, capacity, **columns), capacity)
+    return pack_pieces(cut_pieces(docs, tokenizer, capacity, **columns), capacity, effort=effort)

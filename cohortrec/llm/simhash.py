@@ -12,6 +12,7 @@ and holds one block of a key's fingerprints at a time. A key with more than ``BL
 cut into blocks whose pairs become tasks of their own. Inside a block only spanning links leave.
 """
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 
 from cohortrec.llm import golay
 from cohortrec.llm.components import connected_components
-from cohortrec.llm.tokens import byte_slices
+from cohortrec.llm.exact_dedup import one_row
+from cohortrec.llm.tokens import byte_slices, release_memory
 from cohortrec.plans.materialize import materialize
 
 SHINGLE = 4
@@ -30,22 +32,29 @@ MAX_BITS = 4
 SEED = 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and bits
 BLOCK = 2048
+PART = 1 << 16  # shingles of a text that are hashed at once
 SHORT_RUN = 8  # equal keys up to which all pairs are compared at once
 LANES = np.uint64(0x0101010101010101)
 
 
-def shingle_hashes(text: bytes, size: int = SHINGLE) -> list[int]:
+def shingle_hashes(text: bytes, size: int = SHINGLE) -> np.ndarray:
+    """The hash of every shingle as unsigned 64-bit numbers."""
     words = text.lower().split()  # lower-cases A-Z and splits at the six ASCII white-space characters
     if not words:
-        return []
+        return np.empty(0, dtype=np.uint64)
     joined = b" ".join(words)
     if len(words) <= size:
-        return [xxhash.xxh64_intdigest(joined, SEED)]
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], dtype=np.uint64)
     lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    del words
     ends = np.cumsum(lengths + 1) - 1
-    begins = ends - lengths
-    digest = xxhash.xxh64_intdigest
-    return [digest(joined[a:b], SEED) for a, b in zip(begins[: 1 - size].tolist(), ends[size - 1 :].tolist())]
+    begins, ends = (ends - lengths)[: 1 - size], ends[size - 1 :]
+    out = np.empty(len(begins), dtype=np.uint64)
+    for first in range(0, len(begins), PART):
+        spans = map(slice, begins[first : first + PART].tolist(), ends[first : first + PART].tolist())
+        part = map(xxhash.xxh64_intdigest, map(joined.__getitem__, spans), itertools.repeat(SEED))
+        out[first : first + PART] = np.fromiter(part, dtype=np.uint64, count=min(PART, len(begins) - first))
+    return out
 
 
 def majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -77,11 +86,11 @@ def fingerprints(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in byte_slices(batch, "text"):
-                each = [shingle_hashes((t or "").encode(), shingle) for t in rows["text"].to_pylist()]
+                each = [shingle_hashes((t.as_py() or "").encode(), shingle) for t in rows["text"]]
                 sizes = np.fromiter(map(len, each), dtype=np.int64, count=len(each))
-                hashes = np.fromiter((h for hs in each for h in hs), dtype=np.uint64, count=int(sizes.sum()))
-                found = majority(hashes, sizes).view(np.int64)
+                found = majority(np.concatenate(each), sizes).view(np.int64)
                 yield pa.RecordBatch.from_arrays([*(rows[c] for c in kept), pa.array(found)], [*kept, "fp"])
+        release_memory()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, f"doc_id long, {'text string, ' if with_text else ''}fp long")
@@ -266,34 +275,78 @@ def near_groups(
     Rows without an id are linked but name no component, unless all of it has no id. Repeated rows
     get equal results; an empty table gives none; other columns are not read.
     """
+    marked, named = _components(docs, shingle, max_bits, id_col, text_col, block)
+    return marked.join(named, "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def _components(
+    docs: DataFrame, shingle: int, max_bits: int, id_col: str, text_col: str, block: int = BLOCK
+) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, fp)`` of all rows, and ``(fp, component_id, group)`` of their fingerprints, as written tables.
+
+    ``group`` is a fingerprint that names the component whether or not it has an id.
+    """
     marked = materialize(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     firsts = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "firsts")
     members = connected_components(fingerprint_links(firsts, max_bits, block))
     linked = materialize(members.join(firsts, F.col("node") == F.col("fp")).select("fp", "component", "first"), "linked")
     least = linked.groupBy("component").agg(F.min("first").alias("least"))
-    named = linked.join(least, "component").select(F.col("fp").alias("member"), "least")
+    named = linked.join(least, "component").select(F.col("fp").alias("member"), "component", "least")
     named = firsts.join(named, F.col("fp") == F.col("member"), "left")
-    named = materialize(named.select("fp", F.coalesce("least", "first").alias("component_id")), "named")
-    return marked.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    component, group = F.coalesce("least", "first").alias("component_id"), F.coalesce("component", "fp").alias("group")
+    return marked, materialize(named.select("fp", component, group), "named")
 
 
-def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+def drop_near_copies(
+    docs: DataFrame,
+    shingle: int = SHINGLE,
+    max_bits: int = MAX_BITS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    single: bool = False,
+) -> DataFrame:
     """One document of each group stays, the one with the smallest id, with all its columns.
 
-    Rows without an id all stay. Of an id with texts in several groups, the texts stay of whose groups
-    it is the smallest id; only such ids are looked at text by text.
+    Rows without an id all stay, and so do repeated rows of the id that stays. Of an id with texts in several groups, the texts
+    stay of whose groups it is the smallest id; only such ids are looked at text by text. With ``single`` exactly one row of
+    each group stays, the least by id, text and its other columns. NULL and empty texts are like each other. An empty
+    table gives no rows.
     """
-    near = near_groups(docs, shingle, max_bits).where("doc_id is not null")
+    if single:
+        return _one_of_each(docs, shingle, max_bits, id_col, text_col)
+    near = near_groups(docs, shingle, max_bits, id_col, text_col).where("doc_id is not null")
     goes = F.col("doc_id") != F.col("component_id")
     ids = near.groupBy("doc_id").agg(F.max(goes).alias("some"), F.min(goes).alias("all"))
     ids = materialize(ids.where("some").select(F.col("doc_id").alias("_dropped_id"), "all"), "dropped")
     whole, mixed = ids.where("all").drop("all"), materialize(ids.where("not all").drop("all"), "mixed")
     copies = near.where(goes).join(mixed, near["doc_id"] == mixed["_dropped_id"], "left_semi")
     copies = copies.select(F.col("doc_id").alias("_id"), F.col("fingerprint").alias("_fp")).distinct()
-    texts = fingerprints(docs.join(mixed, docs["doc_id"] == mixed["_dropped_id"], "left_semi"), shingle, with_text=True)
+    several = docs.join(mixed, docs[id_col] == mixed["_dropped_id"], "left_semi")
+    texts = fingerprints(several, shingle, id_col, text_col, with_text=True)
     texts = texts.distinct().join(copies, (F.col("doc_id") == F.col("_id")) & (F.lower(F.lpad(F.hex("fp"), 16, "0")) == F.col("_fp")))
     texts = materialize(texts.select("_id", F.col("text").alias("_text")), "copies")
-    rest = docs.join(whole, docs["doc_id"] == whole["_dropped_id"], "left_anti")
-    return rest.join(texts, (rest["doc_id"] == texts["_id"]) & rest["text"].eqNullSafe(texts["_text"]), "left_anti")
+    rest = docs.join(whole, docs[id_col] == whole["_dropped_id"], "left_anti")
+    return rest.join(texts, (rest[id_col] == texts["_id"]) & rest[text_col].eqNullSafe(texts["_text"]), "left_anti")
+
+
+def _one_of_each(docs: DataFrame, shingle: int, max_bits: int, id_col: str, text_col: str) -> DataFrame:
+    marked, named = _components(docs, shingle, max_bits, id_col, text_col)
+    placed = marked.join(named, "fp").where("doc_id is not null")
+    goes = F.max(F.col("doc_id") != F.col("component_id")).alias("goes")
+    ids = materialize(placed.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("rows"), goes), "ids")
+    # An id of one row is decided by the id. Rows of other ids, and those without one, are looked at one by one.
+    dropped, several = ids.where("rows = 1 and goes").select("_id"), ids.where("rows > 1").select("_id")
+    whole = docs.where(F.col(id_col).isNotNull())
+    decided = whole.join(several, whole[id_col] == several["_id"], "left_anti")
+    decided = decided.join(dropped, decided[id_col] == dropped["_id"], "left_anti")
+    open_rows = whole.join(several, whole[id_col] == several["_id"], "left_semi").unionByName(docs.where(F.col(id_col).isNull()))
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    open_rows = materialize(open_rows.withColumn(row, F.monotonically_increasing_id()), "open_rows")
+    prints = fingerprints(open_rows, shingle, row, text_col).join(named, "fp")
+    prints = prints.select(F.col("doc_id").alias("_of"), F.col("component_id").alias("_component"), F.col("group").alias("_group"))
+    least = open_rows.join(prints, open_rows[row] == prints["_of"]).where(F.col(id_col).eqNullSafe(F.col("_component")))
+    return decided.unionByName(one_row(least, "_group", text_col, docs.columns))

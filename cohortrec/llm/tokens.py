@@ -8,6 +8,8 @@ Texts with characters for which the split is not this simple, and all other toke
 through the library text by text.
 """
 
+import contextlib
+import ctypes
 import functools
 import json
 import os
@@ -18,9 +20,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 END_ID = 1
-SLICE_BYTES = 12 << 20
-# Pieces whose ids a worker remembers between batches; a bound on memory, without effect on results.
-REMEMBERED = 300_000
+SLICE_BYTES = 4 << 20
+# About what a worker may remember of pieces between batches; a bound on memory, without effect on results.
+REMEMBERED_BYTES = 64 << 20
+ENTRY_BYTES = 200  # a table entry with its two objects, beside their contents
 
 # The pipeline for which pieces can be encoded one by one.
 PIECE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -52,6 +55,14 @@ def byte_slices(table: pa.RecordBatch | pa.Table, column: str, limit: int = SLIC
         yield table.slice(begin)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system. Workers stay idle beside the executor's JVM after their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # there with glibc only
+    if trim is not None:
+        trim(0)
+
+
 class BatchEncoder:
     def __init__(self, path: str, end_id: int = END_ID):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -63,6 +74,7 @@ class BatchEncoder:
         self.plain = self._splits_into_pieces(path)
         self.alphabet = byte_alphabet()
         self.known: dict[str, bytes] = {}
+        self.remembered = 0
 
     @staticmethod
     def _splits_into_pieces(path: str) -> bool:
@@ -106,12 +118,13 @@ class BatchEncoder:
     def _by_pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         apart = pc.replace_substring_regex(pc.utf8_lower(texts), OTHER_RUN, r" \1 ")
         split = pc.utf8_split_whitespace(apart)
+        del apart
         coded = split.flatten().dictionary_encode()
         names, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         self._learn([name for name in names if name not in self.known])
         found = list(map(self.known.__getitem__, names))
-        if len(self.known) > REMEMBERED:
-            self.known = {}
+        if self.remembered > REMEMBERED_BYTES:
+            self.forget()
         size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
         pool = np.frombuffer(b"".join(found), dtype="<u4")
         begin = np.cumsum(size) - size
@@ -133,6 +146,10 @@ class BatchEncoder:
         ids = np.array(found.ids, dtype="<u4").tobytes()
         cut = (np.searchsorted(np.array(found.word_ids), np.arange(len(names) + 1)) * 4).tolist()
         self.known.update(zip(names, map(ids.__getitem__, map(slice, cut[:-1], cut[1:]))))
+        self.remembered += sum(map(len, names)) + len(ids) + ENTRY_BYTES * len(names)
+
+    def forget(self) -> None:
+        self.known, self.remembered = {}, 0
 
 
 @functools.cache
@@ -140,3 +157,12 @@ def encoder(path: str, end_id: int = END_ID) -> BatchEncoder:
     """One encoder per worker process, kept between tasks."""
     pa.set_cpu_count(1)
     return BatchEncoder(path, end_id)
+
+
+@contextlib.contextmanager
+def encoding(path: str, end_id: int = END_ID) -> Iterator[BatchEncoder]:
+    """The worker's encoder for the length of a task. What it learned stays, within its bound; other memory goes back."""
+    try:
+        yield encoder(path, end_id)
+    finally:
+        release_memory()
