@@ -12,10 +12,12 @@ BOILER, MAIN, HEADING, MARKED, STAYS = 1, 2, 4, 8, 16
 # Element names by what they mean for a text.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small "
-    "span strike strong sub sup time tt u var wbr".split()
+    "span strike strong sub sup time tt u var wbr "
+    "math maction merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle "
+    "msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 VOID = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript iframe noembed noframes template xmp svg math select object canvas".split())
+RAW = frozenset("script style title textarea noscript iframe noembed noframes template xmp svg select object canvas".split())
 DROPPED = frozenset("nav footer aside button dialog menu fieldset head".split())
 CONTAINERS = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -58,6 +60,7 @@ class Block:
     path: int
     flags: int
     link_chars: int
+    place: int = 0  # in the page, behind the element it stands in and before what follows
 
 
 def _path(parent: int, key: str) -> int:
@@ -116,7 +119,7 @@ def parse(page: str) -> tuple[list[Block], dict[int, tuple[int, int, int, int]]]
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                blocks.append(Block(text, stack[-1][1], stack[-1][2], link_chars))
+                blocks.append(Block(text, stack[-1][1], stack[-1][2], link_chars, position - 1))
                 block_marks.append(stack[-1][3])
             pieces.clear()
         link_chars = 0

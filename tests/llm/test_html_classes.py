@@ -1,0 +1,161 @@
+"""Equivalence classes of page tokens: against a plain deduction, and what the classes decide."""
+
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+from cohortrec.llm import html_template as ht
+from cohortrec.llm.html_blocks import BOILER, HEADING, MAIN, parse
+
+
+def plain_template(bodies):
+    """(slots, content, fixed) of one host, from whole vectors and explicit loops over its distinct pages."""
+    distinct = {}
+    for body in bodies:
+        blocks, _ = parse(body)
+        shown = [b.text for b in blocks if not b.flags & BOILER] or [b.text for b in blocks]
+        distinct.setdefault("\n".join(shown), body)
+    pages = [parse(b) for b in distinct.values()]
+    counts, parent, flags, chars, linked = defaultdict(dict), {}, {}, Counter(), Counter()
+    for n, (blocks, elements) in enumerate(pages):
+        for path, (above, own, count, _) in elements.items():
+            counts[path, 0][n] = count
+            parent[path, 0] = above
+            flags[path, 0] = min(own, flags.get((path, 0), own))
+        for b in blocks:
+            key = (b.path, ht.text_key(b))
+            counts[key][n] = counts[key].get(n, 0) + 1
+            parent[key] = b.path
+            chars[b.path] += len(b.text)
+            linked[b.path] += min(b.link_chars, len(b.text))
+    often = [k for k, c in counts.items() if len(c) >= 0.5 * len(pages) and (k[1] == 0 or len(c) >= 3)]
+    vector = {k: tuple(counts[k].get(n, 0) for n in range(len(pages))) for k in often}
+    ranks = defaultdict(list)
+    for blocks, elements in pages:
+        places = {(p, 0): e[3] for p, e in elements.items()}
+        for b in reversed(blocks):
+            places[b.path, ht.text_key(b)] = b.place
+        groups = defaultdict(list)
+        for k in often:
+            if k in places:
+                groups[vector[k], parent[k]].append((places[k], k))
+        for group in groups.values():
+            for rank, (_, k) in enumerate(sorted(group)):
+                ranks[k].append(rank)
+    gone = set()
+    groups = defaultdict(list)
+    for k in often:
+        groups[vector[k], parent[k]].append(k)
+    for group in groups.values():
+        spread = sorted(((max(ranks[k]) - min(ranks[k]), k) for k in group), key=lambda s: (-s[0], s[1]))
+        for taken, (wander, k) in enumerate(spread):
+            if wander <= taken:
+                break
+            gone.add(k)
+    kept = [k for k in often if k not in gone]
+    slots = set()
+    while more := {k[0] for k in kept if k[1] == 0 and (parent[k] == 0 or parent[k] in slots)} - slots:
+        slots |= more
+    content = set()
+    for path in slots:
+        own = flags[path, 0]
+        exempt = own & MAIN and (own & HEADING or len(counts[path, 0]) < 3)
+        if not own & BOILER and (exempt or linked[path] < 0.5 * max(chars[path], 1)):
+            content.add(path)
+    size = Counter()
+    for k in kept:
+        size[vector[k]] += 1 if k[1] else 2
+    fixed = {k[1] for k in kept if k[1] and k[0] in slots and size[vector[k]] >= 3}
+    return slots, content, fixed
+
+
+def random_pages(rng):
+    """Pages of a template with optional, repeated, moving and data-dependent parts."""
+    pages = []
+    for i in range(rng.randrange(1, 9)):
+        parts = [f"<h1>Title {i}</h1>", "<div class=box>Read our letter</div>"]
+        parts += [f"<p>Body {i} {j}</p>" for j in range(rng.randrange(4))]
+        if rng.random() < 0.6:
+            parts.append("<ul class=more><li><a href=/>Other</a></li><li><a href=/>More</a></li></ul>")
+        if rng.random() < 0.6:
+            parts.append("<p>A common remark</p>")
+        parts.insert(rng.randrange(len(parts)), "<div class=moving>Here and there</div>")
+        pages.append(f"<html><body><div class=top><a href=/>Home</a></div><div class=story>{''.join(parts)}</div><div class=low>All rights</div></body></html>")
+    return pages + pages[:1] * rng.randrange(3)
+
+
+def table(spark, hosts):
+    rows = [(f"http://h{h}.example.org/{i}", body) for h, bodies in enumerate(hosts) for i, body in enumerate(bodies)]
+    frame = spark.createDataFrame(rows, "url string, html string").repartition(3)
+    return frame.select(ht.host_of(frame["url"]).alias("host"), "html")
+
+
+def test_equals_a_plain_deduction(spark):
+    rng = random.Random(12)
+    hosts = [random_pages(rng) for _ in range(40)]
+    found = {r.host: r for r in ht.host_templates(table(spark, hosts)).collect()}
+    for h, bodies in enumerate(hosts):
+        slots, content, fixed = plain_template(bodies)
+        row = found.get(f"h{h}.example.org")
+        if row is None:
+            assert not slots
+            continue
+        assert (set(row.slots), set(row.content), set(row.fixed)) == (slots, content, fixed)
+
+
+def tokens(rows):
+    return [
+        dict(path=p, parent=up, text=t, vector=v, pages=n, flags=0, place=float(p * n), chars=10, linked=0, low=low, high=high)
+        for p, up, t, v, n, low, high in rows
+    ]
+
+
+def test_exchanged_vectors_change_the_template():
+    rows = [(1, 0, 0, 70, 6, 0, 0), (2, 1, 0, 70, 6, 0, 0), (3, 1, 0, 80, 4, 0, 0), (3, 3, 91, 80, 4, 0, 0), (2, 2, 92, 85, 5, 0, 0)]
+    assert ht.deduce(tokens(rows))[2] == [91]  # 92 is on 5 of 6 pages, but in step with nothing
+    swapped = [(*r[:3], {80: 85, 85: 80}.get(r[3], r[3]), *r[4:]) if r[2] else r for r in rows]
+    assert ht.deduce(tokens(swapped))[2] == [92]
+    one = [(*r[:3], 70, *r[4:]) for r in rows]
+    assert ht.deduce(tokens(one))[2] == [91, 92]
+
+
+def test_wandering_tokens_leave_their_class():
+    rows = [(1, 0, 0, 70, 6, 0, 0), *[(p, 1, 0, 70, 6, p - 3, p - 2) for p in range(3, 7)], (9, 1, 0, 70, 6, 0, 4), (9, 9, 95, 70, 6, 0, 0)]
+    slots, _, fixed = ht.deduce(tokens(rows))
+    assert set(slots) == {1, 3, 4, 5, 6} and fixed == []
+    still = [(*r[:5], min(r[5], 4), r[5]) if r[0] == 9 else (*r[:6], r[5]) for r in rows]
+    assert set(ht.deduce(tokens(still))[0]) == {1, 3, 4, 5, 6, 9}
+
+
+def extracted(spark, bodies):
+    rows = [(i, f"http://h.example.org/{i}", body) for i, body in enumerate(bodies)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return [r.text for r in sorted(ht.extract_articles(pages).collect(), key=lambda r: r.page_id)]
+
+
+def test_two_templates_on_a_host(spark):
+    news = "<body><div class=top>About us</div><div class=story><h2>T{0}</h2><p>One {0}</p></div></body>"
+    shop = "<body><div class=bar>Our shop</div><table><tr><td>Item {0}</td><td>In stock</td></tr></table></body>"
+    bodies = [news.format(i) if i % 2 else shop.format(i) for i in range(12)]
+    assert extracted(spark, bodies) == [f"T{i} One {i}" if i % 2 else f"Item {i}" for i in range(12)]
+
+
+def test_common_text_out_of_step_with_the_template_stays(spark):
+    page = "<body><div class=top>About us</div><div class=story>{1}<p>One {0}</p>{2}</div></body>"
+    for n in (6, 9):
+        bodies = [page.format(i, "<p>As I said before</p>" * (i % 3 != 0), "<div class=box>Call now</div>" * (i % 3 != 1)) for i in range(n)]
+        assert extracted(spark, bodies) == ["As I said before " * (i % 3 != 0) + f"One {i}" for i in range(n)]
+
+
+def test_teasers_and_formulas(spark):
+    body = "the long body of this page, " * 20
+    page = f"<body><article>News</article><div class=text><p>{body}</p></div></body>"
+    assert extracted(spark, [page]) == [f"News {body.strip()}"]
+    assert extracted(spark, ["<article>so <math><mn>1</mn><mo>+</mo><mi>x</mi></math> holds</article>"]) == ["so 1+x holds"]
+
+
+@pytest.mark.parametrize("n", [1, 2])
+def test_hosts_of_one_and_two_pages_have_no_template_text(spark, n):
+    page = "<body><div class=top>About us</div><div class=story><p>One {0}</p></div><ul><li><a href=/>Home</a></li></ul></body>"
+    assert extracted(spark, [page.format(i) for i in range(n)]) == [f"About us One {i}" for i in range(n)]
