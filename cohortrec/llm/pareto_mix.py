@@ -131,6 +131,7 @@ def _nearest(rows: DataFrame, samples: DataFrame, quotas: DataFrame) -> DataFram
     gaps = quotas.join(used, F.col("source").eqNullSafe(F.col("_of")), "left").select(
         F.col("source").alias("_source"), (F.col("quota") - F.coalesce("_used", F.lit(0))).alias("_gap")
     )
+    gaps = materialize(gaps, "gaps")  # of a known size, so that few sources are broadcast and rows stay where they are
     taken = samples.select(F.col("row").alias("_row"))
     rest = rows.join(gaps, F.col("source").eqNullSafe(F.col("_source"))).where("size < 2 * _gap")
     rest = rest.join(taken, F.col("row") == F.col("_row"), "left_anti")
