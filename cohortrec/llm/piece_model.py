@@ -31,6 +31,9 @@ class PieceModel:
         if missing := [c for c in self.chars if c not in self.ids]:
             raise ValueError(f"characters without a piece of their own: {missing[:5]}")
         score = {i: sp.get_score(i) for i in self.text}
+        # Scores of BPE models number the merges; other kinds hold logarithms of probabilities.
+        if any(value != int(value) for value in score.values()):
+            raise ValueError("only BPE models are supported")
         order = {s: r for r, s in enumerate(sorted(set(score.values()), reverse=True))}
         self.merge_rank = {i: order[s] for i, s in score.items()}
         self.rank = np.full(self.size, -1, dtype=np.int32)

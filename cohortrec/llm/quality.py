@@ -236,7 +236,11 @@ def score_documents(
 def keep_good(
     docs: DataFrame, model: RuleEnsemble, threshold: float = KEEP_SCORE, text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` with a score of at least ``threshold``, with all their columns."""
+    """The rows of ``docs`` with a score of at least ``threshold``, with all their columns.
+
+    NULL text is scored as empty text. Repeated rows stay or go alike, a row needs no id, an empty table stays empty, and
+    columns of any name pass through.
+    """
     mark = "_f"
     while any(c.startswith(mark) for c in docs.columns):
         mark += "_"

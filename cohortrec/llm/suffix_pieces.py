@@ -261,7 +261,10 @@ def encode_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
 
 
 def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
-    """``(doc_id, ids, text)`` from ``encode_documents``; a NULL list is an empty text."""
+    """``(doc_id, ids, text)`` from ``encode_documents``; a NULL list is an empty text.
+
+    Repeated rows and rows without an id are decoded each on its own; an empty table gives no rows; other columns are not read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = suffix_encoder(model).decode
