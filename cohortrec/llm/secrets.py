@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from cohortrec.llm.guess_cost import COMMON, WORDS, WordTable, log10_guesses
 from cohortrec.llm.tokens import byte_slices
+from cohortrec.plans.materialize import materialize
 
 HARD = 10.0
 KINDS = ("assign", "access", "hex", "guess")
@@ -44,6 +45,7 @@ JAVA_HINT = HINT
 
 # Words of the table, bounded: it goes to the driver and to every task. Texts in many languages deserve more.
 TABLE_WORDS = 20_000
+LEVELS = 4  # of counts, per doubling
 
 
 def hard_to_guess(value: str, table: WordTable | None = None) -> float | None:
@@ -60,17 +62,29 @@ def hard_to_guess(value: str, table: WordTable | None = None) -> float | None:
 
 
 def word_table(docs: DataFrame, text_col: str = "text", limit: int = TABLE_WORDS) -> WordTable:
-    """Words by the number of documents that hold them, behind the list of common passwords.
+    """Words by the number of documents that hold them, behind the list of common passwords; at most ``limit``.
+
+    Counts are cut into levels of a quarter of a doubling, and whole levels are taken from the highest on.
 
     Whole texts of all documents are counted, but for values in a credential context, so a secret that many copies
-    repeat is no word. Words are runs of 3 to 20 letters in lower case; ties go by alphabet.
+    repeat is no word. Words are runs of 3 to 20 letters in lower case, in two documents at least; ties go by alphabet.
     """
     text = F.col(text_col)
     prose = F.when(text.rlike(JAVA_HINT), F.regexp_replace(text, JAVA_CONTEXT, " ")).otherwise(text)
     words = F.array_distinct(F.regexp_extract_all(F.lower(prose), F.lit(r"(?<!\p{L})\p{L}{3,20}(?!\p{L})"), F.lit(0)))
     counts = docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    most = counts.orderBy(F.desc("n"), "word").limit(limit).collect()
-    return WordTable([*WORDS, *(r["word"] for r in most)])
+    level = F.floor(F.log2("n") * LEVELS).cast("int")
+    counts = materialize(counts.where("n > 1").withColumn("level", level), "words")
+    # The driver sees a few counts of levels, then the words of the highest levels that fit into the limit.
+    held, lowest = 0, None
+    for row in counts.groupBy("level").agg(F.count("*").alias("words")).orderBy(F.desc("level")).collect():
+        held += row["words"]
+        if held > limit:
+            break
+        lowest = row["level"]
+    chosen = [] if lowest is None else counts.where(F.col("level") >= lowest).select("word", "n").collect()
+    chosen.sort(key=lambda r: (-r["n"], r["word"]))
+    return WordTable([*WORDS, *(r["word"] for r in chosen)])
 
 
 def find_spans(text: str, table: WordTable | None = None) -> list[tuple[str, int, int, float]]:

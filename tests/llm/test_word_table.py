@@ -1,0 +1,46 @@
+"""The word table of the secret scan, and what values cost with it."""
+
+import random
+import string
+
+from cohortrec.llm import secrets
+
+
+def corpus(spark):
+    rng = random.Random(1)
+    words = ["".join(rng.choices(string.ascii_lowercase, k=rng.randrange(3, 10))) for _ in range(400)]
+    texts = [" ".join(rng.choices(words, weights=range(400, 0, -1), k=40)) for _ in range(300)]
+    texts += ["The größe of it", "größe again", None, "", "pwd = kqzvxwmtjrhbgplf"] + ["token: zzzqqqwwwzzz and prose"] * 20
+    return words, texts, spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+
+
+def test_counts_and_limit(spark):
+    words, texts, docs = corpus(spark)
+    table = secrets.word_table(docs)
+    held = {w: sum(w in (t or "").lower().split() for t in texts) for w in [*words, "größe", "prose"]}
+    ranked = [w for w in sorted(table.rank, key=table.rank.get) if w not in secrets.WORDS]
+    assert set(ranked) >= {w for w, n in held.items() if n > 1 and w not in secrets.WORDS}
+    known = [w for w in ranked if w in held]
+    assert known == sorted(known, key=lambda w: (-held[w], w))
+    assert "zzzqqqwwwzzz" not in table.rank and "kqzvxwmtjrhbgplf" not in table.rank  # values, though repeated
+    small = secrets.word_table(docs, limit=50)
+    assert 10 < len(small.rank) - len(secrets.WORDS) <= 50
+    assert secrets.word_table(docs.limit(0)).rank.keys() == set(secrets.WORDS)
+
+
+def test_every_value_is_costed_with_a_table(spark):
+    words, _, docs = corpus(spark)
+    table = secrets.word_table(docs)
+    kinds = lambda t: [t[a:b] for k, a, b, _ in secrets.find_spans(t, table) if k == "guess"]
+    rng = random.Random(2)
+    planted = ["".join(rng.choices(alphabet, k=16)) for alphabet in (string.ascii_uppercase, string.ascii_lowercase, string.digits) for _ in range(30)]
+    planted += ["qzx-vkw-plmr", "-".join(rng.sample(words, 4))]
+    found = [v for v in planted if kinds(f"auth={v} end") == [v]]
+    assert len(found) >= 0.95 * len(planted)
+    spared = [rng.choice(words[:100]).ljust(8, "a") for _ in range(20)] + ["2024-01-31", "changeme2024", "qwertyuiop123", "aaaaaaaaaaaa"]
+    path = "/".join(["", *rng.sample(words[:50], 5)])
+    spared += [path, f"https://{words[0]}.org{path}", "größegrößegröße"]
+    wrong = [v for v in spared if kinds(f"auth = {v} end")]
+    assert len(wrong) <= 0.1 * len(spared)
+    token = "".join(rng.choices(string.ascii_letters + string.digits, k=24))
+    assert kinds(f"bearer: https://{words[0]}.org/{token}") == [f"https://{words[0]}.org/{token}"]
