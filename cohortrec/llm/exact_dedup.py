@@ -10,9 +10,12 @@ Three combining steps, each of which groups by digest **and** full normalised co
 
 Rows then find their group by digest alone, which is exact because it was checked before that no
 digest has two contents; if one has, rows are matched on the content instead.
+
+Where only one row of each group is wanted, whole rows are combined inside every task and then per
+content, so the texts are shuffled once and no row has to find its group.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortrec.plans.materialize import materialize
@@ -77,10 +80,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     empty text; an empty table gives no rows. Rows without an id all stay, and so do repeated rows of the id that stays; with
     ``single`` exactly one row of each group stays, the least by id, text and its other columns.
     """
+    if single:
+        return _one_of_each(docs, id_col, text_col)
     marks = mark_copies(docs, id_col, text_col)
     sha = sha256_hex(normalised(docs[text_col]))
-    if single:
-        return _one_of_each(docs, materialize(marks.select("doc_id", "kept", "text_sha256"), "marks"), id_col, text_col)
     # Dropped ids are fewer than kept ones, so the optimizer may find them small enough to broadcast.
     dropped = marks.where("not kept and doc_id is not null")
     dropped = dropped.select(F.col("doc_id").alias("_dropped_id"), F.col("text_sha256").alias("_dropped_sha"))
@@ -94,17 +97,18 @@ def one_row(rows: DataFrame, group: str, text_col: str, columns: list[str]) -> D
     return chosen.select(*[F.col("_row")[c].alias(c) for c in columns])
 
 
-def _one_of_each(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    kept, sha = marks.where("kept"), F.col("text_sha256").alias("_gone_sha")
-    repeated = kept.groupBy("text_sha256").agg(F.count("*").alias("_n")).where("_n > 1")
-    # Few rows as a rule: equal texts under one id, or without any. One of each comes back below.
-    repeated = materialize(repeated.select(F.col("text_sha256").alias("_sha_of")), "repeated")
-    several = kept.join(repeated, F.col("text_sha256") == F.col("_sha_of"), "left_semi")
-    gone = marks.where("not kept").union(several).select(F.col("doc_id").alias("_gone_id"), sha).distinct()
-    hashed = docs.withColumn("_sha", sha256_hex(normalised(F.col(text_col))))
-    stay = hashed.join(gone, hashed[id_col].eqNullSafe(gone["_gone_id"]) & (hashed["_sha"] == gone["_gone_sha"]), "left_anti")
-    if repeated.isEmpty():
-        return stay.drop("_sha")
-    least = several.groupBy("text_sha256").agg(F.first("doc_id").alias("_least"))  # all of a group have one id
-    again = hashed.join(least, (hashed["_sha"] == least["text_sha256"]) & hashed[id_col].eqNullSafe(least["_least"]))
-    return stay.drop("_sha").unionByName(one_row(again, "_sha", text_col, docs.columns))
+def _one_of_each(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row of each group; the texts are shuffled once, and of each content a task sends one row only.
+
+    The hash only makes sorting and shuffling cheap, groups are rows of equal content.
+    """
+    new = ["_hash", "_content", "_others", "_place"]
+    while set(new) & {c.lower() for c in docs.columns}:
+        new = [name + "_" for name in new]
+    key, content, rest, place = new
+    others = [c for c in docs.columns if c not in (id_col, text_col)]
+    rows = docs.withColumn(content, normalised(F.col(text_col))).withColumn(key, F.xxhash64(content))
+    rows = rows.withColumn(rest, F.to_json(F.struct(*others)) if others else F.lit(""))
+    # A rank that is asked for its first row alone is cut to it in every task before the shuffle.
+    order = Window.partitionBy(key, content).orderBy(F.asc_nulls_last(id_col), text_col, rest)
+    return rows.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(*new)

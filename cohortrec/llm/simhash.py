@@ -335,12 +335,14 @@ def _one_of_each(docs: DataFrame, shingle: int, max_bits: int, id_col: str, text
     marked, named = _components(docs, shingle, max_bits, id_col, text_col)
     placed = marked.join(named, "fp").where("doc_id is not null")
     goes = F.max(F.col("doc_id") != F.col("component_id")).alias("goes")
-    ids = materialize(placed.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("rows"), goes), "ids")
+    ids = placed.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("rows"), goes)
     # An id of one row is decided by the id. Rows of other ids, and those without one, are looked at one by one.
-    dropped, several = ids.where("rows = 1 and goes").select("_id"), ids.where("rows > 1").select("_id")
+    # Ids of one row that stays are most by far and not written, so that the joins see how few the others are.
+    ids = materialize(ids.where("rows > 1 or goes"), "ids")
+    several = materialize(ids.where("rows > 1").select("_id"), "several")
     whole = docs.where(F.col(id_col).isNotNull())
-    decided = whole.join(several, whole[id_col] == several["_id"], "left_anti")
-    decided = decided.join(dropped, decided[id_col] == dropped["_id"], "left_anti")
+    other = ids.select("_id")
+    decided = whole.join(other, whole[id_col] == other["_id"], "left_anti")
     open_rows = whole.join(several, whole[id_col] == several["_id"], "left_semi").unionByName(docs.where(F.col(id_col).isNull()))
     row = "_row"
     while row in docs.columns:
