@@ -11,8 +11,9 @@ Three combining steps, each of which groups by digest **and** full normalised co
 Rows then find their group by digest alone, which is exact because it was checked before that no
 digest has two contents; if one has, rows are matched on the content instead.
 
-Where only one row of each group is wanted, whole rows are combined inside every task and then per
-content, so the texts are shuffled once and no row has to find its group.
+Where only one row of each group is wanted, ``keep_marked`` takes it by these marks: ids of one row
+are decided by the id, so their texts are not shuffled again. ``drop_copies`` with ``single`` makes no
+marks; it combines whole rows inside every task and then per content.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -90,6 +91,32 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return docs.join(dropped, (docs[id_col] == dropped["_dropped_id"]) & (sha == dropped["_dropped_sha"]), "left_anti")
 
 
+def keep_marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that ``drop_copies`` keeps with ``single``, chosen by the marks of ``mark_copies``.
+
+    An id of one row is decided by the id. Rows of other ids, and those without one, are few as a rule: they are looked
+    at by id and digest, and of those that are marked as kept one row of each group stays. NULL text equals empty
+    text; an empty table gives no rows.
+    """
+    marks = materialize(mark_copies(docs, id_col, text_col).select("doc_id", "kept", "text_sha256"), "marks")
+    ids = marks.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id"))
+    ids = ids.agg(F.count("*").alias("rows"), F.min("kept").alias("kept"))
+    # Ids of one row that stays are most by far and not written, so that the joins see how few the others are.
+    ids = materialize(ids.where("rows > 1 or not kept").select("_id", "rows"), "ids")
+    several = materialize(ids.where("rows > 1").select("_id"), "several")
+    whole = docs.where(F.col(id_col).isNotNull())
+    other = ids.select("_id")
+    decided = whole.join(other, whole[id_col] == other["_id"], "left_anti")
+    open_rows = whole.join(several, whole[id_col] == several["_id"], "left_semi").unionByName(docs.where(F.col(id_col).isNull()))
+
+    kept = marks.where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
+    of_several = kept.join(several, kept["_kept_id"] == several["_id"], "left_semi")
+    kept = materialize(of_several.union(kept.where("_kept_id is null")).distinct(), "kept")
+    sha = sha256_hex(normalised(open_rows[text_col]))
+    stay = open_rows.join(kept, open_rows[id_col].eqNullSafe(kept["_kept_id"]) & (sha == kept["_kept_sha"]), "left_semi")
+    return decided.unionByName(drop_copies(stay, id_col, text_col, single=True))
+
+
 def one_row(rows: DataFrame, group: str, text_col: str, columns: list[str]) -> DataFrame:
     """``columns`` of one row per ``group``: the least by text, then by all columns as JSON; combined before the shuffle."""
     order = F.struct(F.col(text_col), F.to_json(F.struct(*columns)))

@@ -3,6 +3,7 @@
 import itertools
 import re
 
+import corpus_pipeline
 from cohortrec.llm import exact_dedup, simhash
 
 SCHEMA = "doc_id long, text string, extra int, _row int"
@@ -124,3 +125,37 @@ def test_near_leaves_texts_where_few_go(spark):
         assert sorted(r.doc_id for r in found.collect()) == list(range(3000))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_pipeline_keeps_exact_copies_by_marks(spark, monkeypatch):
+    """The stage ranked rows by a hash of their content and made no digests, groups or marks."""
+    rows = documents()
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    made, mark_copies = [], exact_dedup.mark_copies
+
+    def marks(*args, **kwargs):
+        made.append(mark_copies(*args, **kwargs))
+        return made[-1]
+
+    monkeypatch.setattr(exact_dedup, "mark_copies", marks)
+    stage = dict(corpus_pipeline.STAGES)["exact dedup"]
+    kept = sorted(map(tuple, stage(spark, docs, "").collect()), key=str)
+    groups = [re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for _, t, _, _ in rows]
+    assert len(made) == 1 and made[0].count() == len(rows)
+    assert kept == sorted(map(tuple, exact_dedup.drop_copies(docs, single=True).collect()), key=str)
+    assert [r[:2] for r in kept] == [r[:2] for r in winners(rows, groups)]
+    assert stage(spark, docs.limit(0), "").collect() == []
+
+
+def test_marked_rows_of_other_names_and_clashing_digests(spark, monkeypatch):
+    rows = [(2, "a\nb", {"k": 1}, 1), (2, "a b", {"k": 1}, 1), (2, "a\tb", {"k": 0}, 2), (9, "a  b", None, None), (None, "a b", None, 3)]
+    rows += [(2, "a\tb", {"k": 0}, 1), (2, "c", None, 5), (1, "c", None, 4), (None, "c", None, 4), (None, "d", None, 0), (None, "d", None, 0)]
+    docs = spark.createDataFrame(rows, "id long, body string, _content map<string, int>, _id int").repartition(3)
+    wanted = sorted([(2, "a\tb", {"k": 0}, 1), (1, "c", None, 4), (None, "d", None, 0)], key=str)
+    for _ in range(2):
+        found = exact_dedup.keep_marked(docs, "id", "body")
+        assert found.schema == docs.schema
+        assert sorted(map(tuple, found.collect()), key=str) == wanted
+        mark_copies = exact_dedup.mark_copies
+        weak = lambda *args: mark_copies(*args, digest=lambda content: exact_dedup.F.length(content).cast("string"))
+        monkeypatch.setattr(exact_dedup, "mark_copies", weak)
