@@ -49,6 +49,32 @@ def test_few_candidates(spark):
     assert candidates.count() == candidates.distinct().count()
 
 
+def test_few_candidates_at_a_low_threshold(spark):
+    """All pairs that met at one of almost all movies were compared in full: 99 % of those here, of which few are similar."""
+    rng = random.Random(11)
+    rows = [(u, m, float(rng.randrange(1, 6))) for u in range(150) for m in rng.sample(range(400), 40)]
+    frame = spark.createDataFrame(rows, "vec_id long, movie_id long, rating double")
+    wanted = plain_similar(rows, 0.2)
+    candidates = {tuple(r) for r in similarity.similar_candidates(frame, 0.2).collect()}
+    assert set(wanted) <= candidates and len(candidates) < 1.5 * len(wanted) < 150 * 149 / 2 / 10
+    found = {(r.left_id, r.right_id): round(r.similarity, 9) for r in similarity.similar_vectors(frame, 0.2).collect()}
+    assert found == wanted
+
+
+@pytest.mark.parametrize("most", [0, 20, None])
+@pytest.mark.parametrize("threshold, block", [(0.25, 4096), (0.25, 3), (0.7, 6)])
+def test_movies_that_are_not_indexed_whole(spark, monkeypatch, most, threshold, block):
+    """Parts of vectors that are not indexed count towards the threshold, whatever their signs."""
+    if most is not None:
+        monkeypatch.setattr(similarity, "whole_movies", lambda placed: most)
+    rng = random.Random(12)
+    rows = [(u, m, float(rng.choice([-2, -1, 1, 2, 3, 5, 0.25]))) for u in range(-30, 30) for m in range(12) if rng.random() < 0.5]
+    rows += [(u, 100 + m, float(rng.randrange(1, 6))) for u in range(-30, 30) for m in rng.sample(range(30), 4)]
+    frame = spark.createDataFrame(rows, "vec_id long, movie_id long, rating double")
+    found = {(r.left_id, r.right_id): round(r.similarity, 9) for r in similarity.similar_vectors(frame, threshold, block).collect()}
+    assert found == plain_similar(rows, threshold)
+
+
 def test_no_rows_and_bad_threshold(spark):
     frame = spark.createDataFrame([], "vec_id long, movie_id long, rating double")
     assert similarity.similar_vectors(frame, 0.5).collect() == []
